@@ -29,13 +29,13 @@ def _folds(ascii_only: bool):
 
     Returns the one-to-one and deleting part as two ``translate`` arguments, and
     the characters that become several letters with one ``translate`` argument
-    per output position. Runs that end up as separators count as one blank.
+    per output position. Runs that end up as separators count as one blank. No
+    character beyond the first two planes has an ASCII form.
     """
     single, deleted, multi = {}, [], {}
-    for point in range(0x80, 0x110000):
-        if 0xD800 <= point <= 0xDFFF:
+    for char in map(chr, range(0x80, 0x20000)):
+        if not unicodedata.decomposition(char) and not unicodedata.combining(char):
             continue
-        char = chr(point)
         form = unicodedata.normalize("NFKD", char)
         if ascii_only:
             form = form.encode("ascii", "ignore").decode("ascii")

@@ -31,7 +31,12 @@ AGGREGATE_COLUMNS = {
     3: "imae_general_trend_index", 4: "imae_general_trend_yoy",
 }
 
-IN_SHEET = Window.partitionBy(*SHEET).orderBy("col")
+# Block numbers: components from 1, then the aggregate sheet, then the older layout.
+AGGREGATE_BLOCK, OLD_BLOCKS = 100_000, 200_000
+
+
+def _along_sheet():
+    return Window.partitionBy(*SHEET).orderBy("col")
 
 
 def _is_total(name: Column) -> Column:
@@ -48,7 +53,7 @@ def component_blocks(cells: DataFrame) -> DataFrame:
     is_start = (F.col("row") == 6) & F.col("name").contains(PERIOD)
     # Header cells only: a window partition holds at most eight rows times the sheet's width.
     placed = header.withColumn(
-        "start", F.max(F.when(is_start, F.col("col"))).over(IN_SHEET.rangeBetween(Window.unboundedPreceding, 0))
+        "start", F.max(F.when(is_start, F.col("col"))).over(_along_sheet().rangeBetween(Window.unboundedPreceding, 0))
     ).where(F.col("col") < F.col("start") + 25)
     title = F.col("row") <= 5
     changes = reduce(lambda a, b: a | b, [F.col("name").contains(w) for w in CHANGE_WORDS])
@@ -71,7 +76,7 @@ def old_blocks(cells: DataFrame, header_row: int = 6) -> DataFrame:
     are index, yoy, trend index, trend yoy in order; further ones index again.
     """
     header = cells.where(F.col("row") == header_row).select(*SHEET, "col", slug_soft(cell_label()).alias("name"))
-    ahead = IN_SHEET.rangeBetween(0, 19)
+    ahead = _along_sheet().rangeBetween(0, 19)
     has_construction = F.col("name").contains(CONSTRUCTION)
     flagged = header.select(
         *SHEET, "col", "name",
@@ -80,7 +85,7 @@ def old_blocks(cells: DataFrame, header_row: int = 6) -> DataFrame:
     )
     placed = flagged.select(
         *SHEET, "col", "name",
-        F.max(F.when(F.col("is_start"), F.col("col"))).over(IN_SHEET.rangeBetween(Window.unboundedPreceding, 0)).alias("start"),
+        F.max(F.when(F.col("is_start"), F.col("col"))).over(_along_sheet().rangeBetween(Window.unboundedPreceding, 0)).alias("start"),
         F.max(F.when(F.col("is_start"), F.col("col"))).over(Window.partitionBy(*SHEET)).alias("last_start"),
     ).where((F.col("start") < F.col("last_start")) | (F.col("col") < F.col("start") + 20))
     blocks = placed.groupBy(*SHEET, "start").agg(
@@ -94,32 +99,40 @@ def old_blocks(cells: DataFrame, header_row: int = 6) -> DataFrame:
     ).where("construction is not null")
 
 
-def read_blocks(cells: DataFrame, blocks: DataFrame, first_row: int) -> DataFrame:
-    """Observations of blocks: ``path, date, series, value, block``; first non-null per month in row order.
-
-    Rows count when their date cell is a month and the construction value is present.
-    """
+def wanted_columns(blocks: DataFrame, first_row: int) -> DataFrame:
+    """The columns that blocks read, one row per block and role."""
     roles = F.array(
         F.struct(F.lit("date").alias("role"), F.col("start").alias("col")),
         F.struct(F.lit("construction").alias("role"), F.col("construction").alias("col")),
         F.struct(F.lit("general").alias("role"), F.col("total").alias("col")),
     )
-    wanted = blocks.select(*SHEET, "block", "suffix", F.explode(roles).alias("r")).select(
-        *SHEET, "block", "suffix", "r.role", "r.col"
-    ).where("col is not null")
-    met = cells.where(F.col("row") >= first_row).join(wanted, [*SHEET, "col"])
+    return blocks.select(
+        *SHEET, "block", "suffix", F.lit(first_row).alias("first_row"), F.col("total").isNotNull().alias("has_total"),
+        F.explode(roles).alias("r"),
+    ).select(*SHEET, "block", "suffix", "first_row", "has_total", "r.role", "r.col").where("col is not null")
+
+
+def read_columns(cells: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Observations of wanted columns: ``path, date, series, value, block``, the first non-null
+    value of a month in row order.
+
+    Rows count when their date cell is a month and the construction value is
+    present. A series whose values are all missing keeps its rows, without a value.
+    """
+    ids = ["path", "sheet", "block", "suffix", "has_total"]
+    met = cells.join(wanted, [*SHEET, "col"]).where(F.col("row") >= F.col("first_row"))
     role = F.col("role")
-    rows = met.groupBy("path", "sheet", "block", "suffix", "row").agg(
+    rows = met.groupBy(*ids, "row").agg(
         F.max(F.when(role == "date", strict_month(F.col("text"), F.col("ts")))).alias("date"),
         F.max(F.when(role == "construction", cell_strict_number())).alias("construction"),
         F.max(F.when(role == "general", cell_strict_number())).alias("general"),
     ).where("date is not null and construction is not null")
-    months = rows.groupBy("path", "block", "suffix", "date").agg(
+    months = rows.groupBy(*ids, "date").agg(
         first_in_order(F.col("construction"), F.col("row")).alias("construction"),
         first_in_order(F.col("general"), F.col("row")).alias("general"),
     )
-    long = months.unpivot(["path", "block", "suffix", "date"], ["construction", "general"], "part", "value")
-    return long.where("value is not null").select(
+    long = months.unpivot([*ids, "date"], ["construction", "general"], "part", "value")
+    return long.where("part = 'construction' or has_total").select(
         "path", "date", F.concat(F.lit("imae_"), "part", F.lit("_"), "suffix").alias("series"), "value", "block"
     )
 
@@ -136,7 +149,7 @@ def aggregate_sheet(cells: DataFrame, columns: dict[int, str] = AGGREGATE_COLUMN
     ).where("date is not null")
     names = list(columns.values())
     months = rows.groupBy("path", "date").agg(*[first_in_order(F.col(n), F.col("row")).alias(n) for n in names])
-    return months.unpivot(["path", "date"], names, "series", "value").where("value is not null")
+    return months.unpivot(["path", "date"], names, "series", "value")
 
 
 def first_data_rows(cells: DataFrame) -> DataFrame:
@@ -151,10 +164,10 @@ def component_sheets(cells: DataFrame, preferred: str = OLD_SHEET, sample_rows:
     The preferred name when it exists, else the first sheet whose leading rows
     hold the words for period, construction and total.
     """
-    name = slug_soft(cell_label())
-    sheets = cells.groupBy(*SHEET, "sheet_no").agg(*[
-        F.bool_or((F.col("row") < sample_rows) & name.contains(word)).alias(word)
-        for word in (PERIOD, CONSTRUCTION, TOTAL)
+    name = F.when((F.col("row") < sample_rows) & F.col("text").isNotNull(), slug_soft(F.col("text")))
+    words = [PERIOD, CONSTRUCTION, TOTAL]
+    sheets = cells.select(*SHEET, "sheet_no", name.alias("name")).groupBy(*SHEET, "sheet_no").agg(*[
+        F.coalesce(F.bool_or(F.col("name").contains(w)), F.lit(False)).alias(w) for w in words
     ])
     fits = (F.col("sheet") == preferred) | (F.col(PERIOD) & F.col(CONSTRUCTION) & F.col(TOTAL))
     place = F.when(F.col("sheet") == preferred, F.lit(-1)).otherwise(F.col("sheet_no"))
@@ -165,40 +178,47 @@ def activity_series(cells: DataFrame, preferred: str = OLD_SHEET, header_row: in
                     on_collision: str = "suffix") -> DataFrame:
     """Activity indices of workbooks in either layout: ``path, date, series, value``.
 
-    The component and aggregate sheets of the current layout are merged; only
-    workbooks that yield nothing there are read in the older one.
+    The component and aggregate sheets of the current layout are merged; the
+    older layout counts only for workbooks that yield nothing there.
     ``on_collision`` says what happens to a series that two blocks or sheets
     provide: ``suffix`` (``_x`` and ``_y``), ``coalesce`` (first in order) or ``error``.
+
+    Apart from the data itself, only header rows and the leading rows of text
+    cells are read; all blocks of all layouts meet the data in one join.
     """
     component = cells.where(F.col("sheet") == COMPONENT_SHEET)
-    current = read_blocks(component, component_blocks(component), first_row=8).unionByName(
-        aggregate_sheet(cells.where(F.col("sheet") == AGGREGATE_SHEET)).withColumn("block", F.lit(1_000_000))
-    )
-    older = cells.join(current.select("path").distinct(), "path", "left_anti")
-    chosen = older.join(component_sheets(older, preferred), SHEET, "left_semi")
-    old = read_blocks(chosen, old_blocks(chosen, header_row), first_row=header_row + 1)
-    return year_range(_resolve(current.unionByName(old), on_collision))
+    current = wanted_columns(component_blocks(component), first_row=8)
+    named = old_blocks(cells, header_row).join(component_sheets(cells, preferred), SHEET)
+    old = wanted_columns(named, header_row + 1).withColumn("block", F.col("block") + OLD_BLOCKS)
+    blocks = read_columns(cells, current.unionByName(old))
+    summary = aggregate_sheet(cells.where(F.col("sheet") == AGGREGATE_SHEET))
+    found = blocks.unionByName(summary.withColumn("block", F.lit(AGGREGATE_BLOCK)))
+    # From here on a workbook has at most its months times its blocks.
+    is_current = F.col("block") < OLD_BLOCKS
+    any_current = F.bool_or(is_current).over(Window.partitionBy("path"))
+    kept = found.withColumn("__any", any_current).where(is_current | ~F.col("__any")).drop("__any")
+    return year_range(_resolve(kept, on_collision))
 
 
 def _resolve(observations: DataFrame, on_collision: str) -> DataFrame:
     """Settle series that several blocks of a workbook provide."""
     if on_collision == "coalesce":
-        return observations.groupBy("path", "date", "series").agg(
+        merged = observations.groupBy("path", "date", "series").agg(
             first_in_order(F.col("value"), F.col("block")).alias("value")
         )
-    sources = observations.groupBy("path", "series").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
-    shared = F.size("blocks") > 1
+        return merged.where("value is not null")
+    blocks = F.sort_array(F.collect_set("block").over(Window.partitionBy("path", "series")))
+    placed = observations.withColumn("__blocks", blocks)
+    shared = F.size("__blocks") > 1
     if on_collision == "error":
-        problem = F.concat(F.lit("several blocks provide "), F.col("series"))
-        suffix = F.when(shared, F.raise_error(problem).cast("string")).otherwise(F.lit(""))
+        problem = F.raise_error(F.concat(F.lit("several blocks provide "), "series")).cast("string")
+        name = F.when(shared, problem).otherwise(F.col("series"))
     elif on_collision == "suffix":
-        place = F.array_position("blocks", F.col("block"))
+        place = F.array_position("__blocks", F.col("block"))
         tail = F.when(place == 1, "_x").when(place == 2, "_y").when(place == 3, "").otherwise(
             F.concat(F.lit("_"), place.cast("string"))
         )
-        suffix = F.when(shared, tail).otherwise(F.lit(""))
+        name = F.concat("series", F.when(shared, tail).otherwise(F.lit("")))
     else:
         raise ValueError(f"Unknown collision rule: {on_collision!r}")
-    return observations.join(sources, ["path", "series"]).select(
-        "path", "date", F.concat("series", suffix).alias("series"), "value"
-    )
+    return placed.select("path", "date", name.alias("series"), "value").where("value is not null")

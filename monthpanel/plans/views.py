@@ -55,10 +55,10 @@ def supplier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("supplier"), month_start(F.col("l_shipdate")).alias("date"),
-        "l_quantity", "l_discount", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
+        "l_quantity", "l_discount", "l_extendedprice",
     )
     months = lines.groupBy("supplier", "date").agg(
-        F.sum("l_quantity").alias("quantity"), F.round(F.sum("net"), 4).alias("revenue"),
+        F.sum("l_quantity").alias("quantity"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"),
         F.round(F.avg("l_discount"), 10).alias("discount"), F.count("*").alias("lines"),
     )
     return months.withColumn("steady", F.when(F.col("lines") >= 5, F.col("revenue")))
@@ -67,7 +67,7 @@ def supplier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 SUPPLIER_MONTH = """supplier_month AS (
   SELECT *, CASE WHEN lines >= 5 THEN revenue END AS steady FROM (
     SELECT l_suppkey AS supplier, CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
-           sum(l_quantity) AS quantity, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
+           sum(l_quantity) AS quantity, round(sum(l_extendedprice), 2) AS revenue,
            round(avg(l_discount), 10) AS discount, count(*) AS lines
     FROM lineitem GROUP BY 1, 2))"""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,10 +88,11 @@ def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
     lines = F.slice(F.filter(F.split(shielded, "\n"), lambda line: line != ""), 1, sample_rows + 1)
     tables = files.select(F.col(path).alias("path"), lines.alias("lines"))
 
+    def fields_by(mark: str) -> Column:
+        return F.transform("lines", lambda line: F.split(line, re.escape(mark)))
+
     tried = tables.select("path", F.posexplode(F.array(*[
-        F.struct(F.lit(mark).alias("delimiter"),
-                 F.transform("lines", lambda line, mark=mark: F.split(line, "[" + mark + "]")).alias("fields"))
-        for mark in DELIMITERS
+        F.struct(F.lit(mark).alias("delimiter"), fields_by(mark).alias("fields")) for mark in DELIMITERS
     ])).alias("attempt", "try")).select("path", "attempt", "try.delimiter", "try.fields")
 
     def is_missing(field: Column) -> Column:
