@@ -16,6 +16,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 
 from monthpanel.operators.baselines import compare_models, mark_holdout, union_predictions
 from monthpanel.operators.quantiles import exact_quantiles
+from monthpanel.operators.settle import settle
 
 # Parameters of the two model sets.
 RIDGE_ALPHA = 1.0
@@ -69,7 +70,8 @@ def linear_estimator(alpha: float, l1_ratio: float | None, rows: int, label_std:
     """Spark estimator with the penalty of ``||y-Xw||^2 + alpha ||w||^2`` (ridge, no ratio) or of
     ``||y-Xw||^2 / 2n + alpha (r |w|_1 + (1-r)/2 ||w||^2)``.
 
-    Spark scales the label by its deviation, hence the factor on the quadratic part.
+    Spark scales the label by its population deviation, hence the factor on the
+    quadratic part. The normal solver reads the rows once, whatever the penalty.
     """
     if l1_ratio is None:
         penalty, mix = alpha * label_std / rows, 0.0
@@ -77,12 +79,12 @@ def linear_estimator(alpha: float, l1_ratio: float | None, rows: int, label_std:
         l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * label_std
         penalty, mix = l1 + l2, l1 / (l1 + l2)
     return LinearRegression(
-        regParam=penalty, elasticNetParam=mix, standardization=False, solver="l-bfgs", tol=1e-13, maxIter=2000
+        regParam=penalty, elasticNetParam=mix, standardization=False, solver="normal", tol=1e-10, maxIter=20000
     )
 
 
 def _linear_fit(train: DataFrame, target: str, alpha: float, l1_ratio: float | None):
-    facts = train.agg(F.count("*").alias("n"), F.stddev_samp(target).alias("sd")).first()
+    facts = train.agg(F.count("*").alias("n"), F.stddev_pop(target).alias("sd")).first()
     return _fit(linear_estimator(alpha, l1_ratio, facts["n"], facts["sd"]), train, target)
 
 
@@ -125,8 +127,8 @@ def ridge_by_leave_one_out(train: DataFrame, test: DataFrame, features: list[str
 
 
 def _holdout(frame: DataFrame, target: str, test_size: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Mark the holdout once; keys too short for it take no part."""
-    marked = mark_holdout(frame, test_size, keys).where("train_rows > 0").drop("step", "train_rows")
+    """Mark the holdout once; keys too short for it take no part. All fits read what is settled here."""
+    marked = settle(mark_holdout(frame, test_size, keys).where("train_rows > 0").drop("step", "train_rows"))
     return marked.where("part = 'train'").drop("part"), marked.where("part = 'test'").drop("part")
 
 
@@ -146,8 +148,7 @@ def lagged_contest(frame: DataFrame, target_name: str, features: list[str], test
                    keys: list[str] = (), models: list[str] | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Ridge, elastic net, random forest and boosting on a supervised frame (``__target__``).
 
-    Returns the comparison and the long predictions. The frame is fitted many
-    times over, so persist or write it first when it is large.
+    Returns the comparison and the long predictions.
     """
     train, test = _holdout(frame, "__target__", test_size, keys)
     _check_rows(train, test_size)

@@ -128,10 +128,11 @@ def month_spine(df: DataFrame, start: str | None = None, end: str | None = None,
 def missing_and_extra_months(df: DataFrame, start: str, end: str, keys: list[str] = ()) -> DataFrame:
     """Months that lack a row and rows outside the month sequence: ``kind, keys, date``."""
     days = df.select(*keys, F.col("date").cast("date").alias("date")).distinct()
-    seen = days.where(F.col("date") == month_start(F.col("date"))).withColumn("__seen", F.lit(1))
-    gaps = month_spine(seen, start, end, keys).where("__seen is null")
+    on_start = F.col("date") == month_start(F.col("date"))
+    seen = days.groupBy(*keys, month_start(F.col("date")).alias("date")).agg(F.bool_or(on_start).alias("__seen"))
+    gaps = month_spine(seen, start, end, keys).where("not coalesce(__seen, false)")
     inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    extra = days.where(~inside | (F.col("date") != month_start(F.col("date"))))
+    extra = days.where(~inside | ~on_start)
     return gaps.select(F.lit("missing").alias("kind"), *keys, "date").unionByName(
         extra.select(F.lit("extra").alias("kind"), *keys, "date")
     )
@@ -212,6 +213,8 @@ def strict_panel(df: DataFrame, start: str = PANEL_START, end: str | None = None
     candidates = _candidates(prepared, columns, required, keys)
     report = panel_report(df, start, end, columns, required, drop_incomplete, keys)
     facts = report.first()
+    if not facts["rows"]:
+        raise ValueError("end must be greater than or equal to start")
     missing = facts["missing_by_column"]
     if any(missing[c] for c in required):
         holes = {c: missing[c] for c in required if missing[c]}

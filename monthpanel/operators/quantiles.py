@@ -27,16 +27,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         F.array_distinct(F.percentile_approx("v", grid, 10 * CUTS)).alias("cuts"), F.sum("c").alias("n")
     )
     # One row per key: broadcast by adaptive execution while small, else joined with skew splitting.
-    placed = counts.join(facts.select(*keys, "cuts"), keys).select(
-        *keys, "v", "c", F.size(F.filter("cuts", lambda cut: cut < F.col("v"))).alias("range")
+    placed = counts.join(facts, keys).select(
+        *keys, "n", "v", "c", F.size(F.filter("cuts", lambda cut: cut < F.col("v"))).alias("range")
     )
-    sizes = placed.groupBy(*keys, "range").agg(F.sum("c").alias("size"))
+    sizes = placed.groupBy(*keys, "n", "range").agg(F.sum("c").alias("size"))
     # At most CUTS ranges per key.
     upto = Window.partitionBy(*keys).orderBy("range")
     bounds = sizes.withColumn("before", F.sum("size").over(upto) - F.col("size"))
     ranks = F.array(*[f(F.lit(p) * (F.col("n") - 1)).cast("long") for p in probs for f in (F.floor, F.ceil)])
-    wanted = bounds.join(facts.select(*keys, "n"), keys).select(
-        *keys, "range", "before", "n",
+    wanted = bounds.select(
+        *keys, "range", "before",
         F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("size"))).alias("ranks"),
     ).where(F.size("ranks") > 0)
     in_range = Window.partitionBy(*keys, "range").orderBy("v")

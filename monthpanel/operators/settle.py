@@ -1,0 +1,24 @@
+"""Cutting lineage before a frame is read many times over."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a frame once for the several fits that read it.
+
+    It is checkpointed to the reliable folder of ``spark.checkpoint.dir``, so a
+    lost executor costs no recomputation. Where that is unset, a local session
+    makes its own folder and a cluster falls back to caching, which keeps the lineage.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()
