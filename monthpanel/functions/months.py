@@ -17,12 +17,10 @@ def month_start(value: Column) -> Column:
 def month_number(label: Column) -> Column:
     """Month 1..12 from a label such as ``Enero``, ``Mar-20``, ``dic`` or ``4``; else null."""
     words = F.trim(F.regexp_replace(fold_text(label), "[^a-z0-9]+", " "))
-    number = F.when(words.rlike("^[0-9]+$"), words.try_cast("int"))
-    names = F.create_map(
-        *[F.lit(x) for month, names in MONTH_SPELLINGS.items() for n in names for x in (n, month)]
-    )
-    named = F.try_element_at(names, F.substring_index(words, " ", 1))
-    return F.coalesce(F.when(number.between(1, 12), number), named)
+    # A lone number without its zeros, or the first word of several.
+    key = F.regexp_replace(words, "^0*([0-9]+)$|^([a-z]+) .*$", "$1$2")
+    named = [(name, month) for month, names in MONTH_SPELLINGS.items() for name in [*names, str(month)]]
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in named for x in pair]), key)
 
 
 def month_of_number(value: Column) -> Column:
@@ -32,11 +30,8 @@ def month_of_number(value: Column) -> Column:
 
 def month_number_strict(label: Column) -> Column:
     """As :func:`month_number`, but a label that is present and unknown fails the query."""
-    month = month_number(label)
-    problem = F.concat(F.lit("could not parse month value: "), label)
-    return F.when(label.isNotNull() & month.isNull(), F.raise_error(problem).cast("int")).otherwise(
-        month
-    )
+    problem = F.raise_error(F.concat(F.lit("could not parse month value: "), label)).cast("int")
+    return F.coalesce(month_number(label), F.when(label.isNotNull(), problem))
 
 
 def month_from_parts(year: Column, month: Column) -> Column:

@@ -20,7 +20,8 @@ def _char_class(chars) -> str:
             j += 1
         parts.append(f"\\x{{{points[i]:X}}}-\\x{{{points[j]:X}}}")
         i = j + 1
-    return "[" + "".join(parts) + "]"
+    # The first half rejects ASCII, most of any text, in one comparison.
+    return "[[^\\x00-\\x7F]&&[" + "".join(parts) + "]]"
 
 
 @lru_cache(maxsize=None)
@@ -66,7 +67,8 @@ def fold_text(text: Column, ascii_only: bool = True) -> Column:
     """Lower case with accents and compatibility forms resolved.
 
     ``ascii_only`` drops what has no ASCII form; otherwise only combining marks
-    are dropped. Ligatures, fractions and the like take the slower second branch.
+    are dropped. Plain ASCII passes through; ligatures, fractions and the like
+    take the slowest branch.
     """
     match, replace, multi_class, steps = _folds(ascii_only)
 
@@ -79,7 +81,9 @@ def fold_text(text: Column, ascii_only: bool = True) -> Column:
         lower.rlike(multi_class), F.array_join(F.transform(F.split(lower, ""), spread), "")
     ).otherwise(lower)
     folded = F.translate(spelled, match, replace)
-    return F.regexp_replace(folded, r"[^\x00-\x7F]", "") if ascii_only else folded
+    if ascii_only:
+        folded = F.regexp_replace(folded, r"[^\x00-\x7F]+", "")
+    return F.when(F.length(lower) == F.octet_length(lower), lower).otherwise(folded)
 
 
 def slug(text: Column) -> Column:

@@ -14,7 +14,7 @@ from monthpanel.fixed import (
 from monthpanel.functions.months import (
     date_in_text, month_from_parts, month_number, month_number_strict, month_of_number, month_start,
 )
-from monthpanel.functions.numbers import parse_number, to_number, year_of_number
+from monthpanel.functions.numbers import parse_number, to_number
 from monthpanel.functions.text import slug_name
 
 
@@ -168,28 +168,30 @@ def generic_monthly(df: DataFrame, prefix: str, include: list[str] = (), exclude
     Columns are kept by substring of their slug and renamed ``<prefix>_<slug>``;
     columns without any number are dropped.
     """
-    table = slug_columns(drop_empty(df, keys))
-    candidates = [c for c in table.columns if c not in keys]
-    date_col = first_matching_column(candidates, DATE_COLUMN_PATTERNS)
-    year_col = first_matching_column(candidates, YEAR_COLUMN_PATTERNS)
-    month_col = first_matching_column(candidates, MONTH_COLUMN_PATTERNS)
+    table = slug_columns(drop_empty_rows(df, keys))
     include, exclude = [slug_name(w) for w in include], [slug_name(w) for w in exclude]
-    kept = [
-        c for c in candidates
-        if c not in (date_col, year_col, month_col)
-        and (not include or any(w in c for w in include))
-        and not any(w in c for w in exclude)
+    columns = [c for c in table.columns if c not in keys]
+    patterns = [DATE_COLUMN_PATTERNS, YEAR_COLUMN_PATTERNS, MONTH_COLUMN_PATTERNS]
+    dating = [c for c in columns if any(first_matching_column([c], p) for p in patterns)]
+    wanted = [
+        c for c in columns
+        if (not include or any(w in c for w in include)) and not any(w in c for w in exclude)
     ]
+    # One pass counts what decides on columns: any value for dates, any number for values.
+    counts = table.agg(
+        *[F.count(F.col(c)).alias(f"any_{c}") for c in dating],
+        *[F.count(number_column(table, c)).alias(f"number_{c}") for c in wanted],
+    ).first()
+    dating = [c for c in dating if counts[f"any_{c}"] > 0]
+    date_col, year_col, month_col = (first_matching_column(dating, p) for p in patterns)
+    values = [c for c in wanted if counts[f"number_{c}"] > 0 and c not in (date_col, year_col, month_col)]
     dated = with_month(table, year_col, month_col, date_col, keys=keys, out="__month")
-    numbers = dated.select(
-        *keys, F.col("__month").alias("date"),
-        *[number_column(table, c).alias(f"{prefix}_{c}") for c in kept],
-    )
-    counts = present_counts(numbers, [f"{prefix}_{c}" for c in kept])
-    values = [c for c in counts if counts[c] > 0]
     if not values:
         raise ValueError("No numeric value columns found")
-    return sum_by_month(numbers.where("date is not null"), values, keys)
+    numbers = dated.select(
+        *keys, F.col("__month").alias("date"), *[number_column(table, c).alias(f"{prefix}_{c}") for c in values]
+    )
+    return sum_by_month(numbers.where("date is not null"), [f"{prefix}_{c}" for c in values], keys)
 
 
 def trade_by_product(df: DataFrame, keys: list[str] = ()) -> DataFrame:

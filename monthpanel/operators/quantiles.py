@@ -2,59 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CUTS = 128
+MARGIN = 1 / 128
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = ()) -> DataFrame:
     """Linear-interpolation quantiles per key as ``keys, n, quantiles`` (an array in ``probs`` order).
 
     The built-in exact percentile gathers a group's distinct values in one task.
-    Here equal values are counted first (map-side), approximate cut points split
-    each group into ranges, and only the ranges that hold a wanted rank are
-    sorted, each on its own. A hot group thus spreads over its ranges, and the
-    cut points steer the work without touching the result.
+    Here approximate quantiles bracket each wanted one, an exact count finds how
+    many values lie below and inside each bracket, and only the values inside,
+    a 64th of a group, are shuffled and sorted. A bracket that misses its rank is
+    opened on that side, so the approximation steers work and never the result.
     """
-    keys = list(keys) or ["__all"]
-    source = df if "__all" not in keys else df.withColumn("__all", F.lit(1))
-    counts = source.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(
-        F.count("*").alias("c")
+    ids = list(keys) or ["__all"]
+    source = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null")
+    if not keys:
+        source = source.withColumn("__all", F.lit(1))
+    edges = [min(max(p + m, 0.0), 1.0) for p in probs for m in (-MARGIN, MARGIN)]
+    facts = source.groupBy(*ids).agg(
+        F.count("*").alias("n"), F.percentile_approx("v", edges, int(16 / MARGIN)).alias("edges")
     )
-    grid = [i / CUTS for i in range(1, CUTS)]
-    facts = counts.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx("v", grid, 10 * CUTS)).alias("cuts"), F.sum("c").alias("n")
-    )
-    # One row per key: broadcast by adaptive execution while small, else joined with skew splitting.
-    placed = counts.join(facts, keys).select(
-        *keys, "n", "v", "c", F.size(F.filter("cuts", lambda cut: cut < F.col("v"))).alias("range")
-    )
-    sizes = placed.groupBy(*keys, "n", "range").agg(F.sum("c").alias("size"))
-    # At most CUTS ranges per key.
-    upto = Window.partitionBy(*keys).orderBy("range")
-    bounds = sizes.withColumn("before", F.sum("size").over(upto) - F.col("size"))
-    ranks = F.array(*[f(F.lit(p) * (F.col("n") - 1)).cast("long") for p in probs for f in (F.floor, F.ceil)])
-    wanted = bounds.select(
-        *keys, "range", "before",
-        F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("size"))).alias("ranks"),
-    ).where(F.size("ranks") > 0)
-    in_range = Window.partitionBy(*keys, "range").orderBy("v")
-    ranked = placed.join(wanted, [*keys, "range"]).withColumn(
-        "upto", F.col("before") + F.sum("c").over(in_range)
-    )
-    hits = ranked.select(
-        *keys, "n", "v",
-        F.explode(F.filter(F.array_distinct("ranks"), lambda r: (r >= F.col("upto") - F.col("c")) & (r < F.col("upto")))).alias("rank"),
-    )
-    found = hits.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
-
-    def quantile(p: float):
+    v = F.col("v")
+    low, high = ([F.get("edges", F.lit(2 * i + side)) for i in range(len(probs))] for side in (0, 1))
+    # One row per key on the right: broadcast while measured small, else joined with skew splitting.
+    counted = source.join(facts, ids).groupBy(*ids, "n", "edges").agg(*[
+        F.struct(F.count(F.when(v < low[i], 1)).alias("below"), F.count(F.when(v <= high[i], 1)).alias("upto")).alias(f"b{i}")
+        for i in range(len(probs))
+    ])
+
+    def bracket(i: int, p: float) -> Column:
         place = F.lit(p) * (F.col("n") - 1)
-        low = F.element_at("at", F.floor(place).cast("long"))
-        high = F.element_at("at", F.ceil(place).cast("long"))
-        return low + (high - low) * (place - F.floor(place))
-
-    return found.select(
-        *[k for k in keys if k != "__all"], "n", F.array(*[quantile(p) for p in probs]).alias("quantiles")
+        first, last = F.floor(place).cast("long"), F.ceil(place).cast("long")
+        holds_low, holds_high = F.col(f"b{i}.below") <= first, last < F.col(f"b{i}.upto")
+        return F.struct(
+            F.lit(i).alias("i"), first.alias("first"), last.alias("last"), (place - F.floor(place)).alias("share"),
+            F.when(holds_low, low[i]).alias("low"), F.when(holds_high, high[i]).alias("high"),
+            F.when(holds_low, F.col(f"b{i}.below")).otherwise(F.lit(0)).alias("below"),
+        )
+
+    brackets = counted.select(*ids, "n", F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("brackets"))
+    inside = source.join(brackets, ids).select(*ids, "n", "v", F.explode(F.filter("brackets", lambda b: (
+        (b["low"].isNull() | (F.col("v") >= b["low"])) & (b["high"].isNull() | (F.col("v") <= b["high"]))
+    ))).alias("b"))
+    ties = inside.groupBy(*ids, "n", "b", "v").agg(F.count("*").alias("c"))
+    ordered = Window.partitionBy(*ids, "b.i").orderBy("v")
+    ranked = ties.withColumn("upto", F.col("b.below") + F.sum("c").over(ordered))
+
+    def at(rank: str) -> Column:
+        here = (F.col(f"b.{rank}") >= F.col("upto") - F.col("c")) & (F.col(f"b.{rank}") < F.col("upto"))
+        return F.max(F.when(here, F.col("v")))
+
+    points = ranked.groupBy(*ids, "n", "b.i").agg(
+        (at("first") + (at("last") - at("first")) * F.max("b.share")).alias("q")
     )
+    quantiles = points.groupBy(*ids, "n").agg(F.sort_array(F.collect_list(F.struct("i", "q"))).alias("qs"))
+    return quantiles.select(*keys, "n", F.transform("qs", lambda x: x["q"]).alias("quantiles"))

@@ -161,7 +161,9 @@ shaped AS (
   FROM tries WHERE len(f) > 1 AND len(f[1]) >= 2 AND list_max(list_transform(f, lambda r: len(r))) <= len(f[1])),
 columns AS (SELECT path, attempt, mark, len(body) AS n, unnest(h) AS label, unnest(range(1, w + 1)) AS col FROM shaped WHERE len(body) > 0),
 fields AS (SELECT path, attempt, unnest(body) AS r FROM shaped),
-vals AS (SELECT path, attempt, unnest(r) AS v, unnest(range(1, len(r) + 1)) AS col FROM fields),
+vals AS (
+  SELECT path, attempt, translate(v, chr(1) || chr(2) || chr(3) || chr(4) || chr(5), ',;' || chr(9) || '|' || chr(10)) AS v, col
+  FROM (SELECT path, attempt, unnest(r) AS v, unnest(range(1, len(r) + 1)) AS col FROM fields)),
 digits AS (SELECT *, regexp_replace(v, '[^0-9,.\\-]', '', 'g') AS d FROM vals WHERE v NOT IN {_MISSING}),
 counted AS (SELECT path, attempt, col, count({_NUMBER}) AS numbers FROM digits GROUP BY 1, 2, 3),
 named AS (

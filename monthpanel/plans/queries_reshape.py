@@ -14,8 +14,7 @@ from monthpanel.operators.reshape import (
 )
 from monthpanel.plans.queries_clean import named_month
 from monthpanel.plans.sheets import (
-    FLAGGED_MONTHS, activity_books, aggregate_cells, flagged_months, listing_book, two_row_book, workbooks,
-    year_matrix_book,
+    FLAGGED_MONTHS, activity_books, aggregate_book, flagged_months, listing_book, two_row_book, year_matrix_book,
 )
 from monthpanel.plans.views import SUPPLIER_MONTH, rounded, supplier_month, table
 from monthpanel.sources.cells import table_from_cells
@@ -71,8 +70,7 @@ def header_promote(spark, sf_dir):
 
 
 def sheet_first_data_row(spark, sf_dir):
-    months = supplier_month(spark, sf_dir)
-    book = workbooks(months, F.col("supplier"), aggregate_cells(months))
+    book = aggregate_book(supplier_month(spark, sf_dir), F.col("supplier"))
     observed = aggregate_sheet(book).where("value is not null")
     return observed.join(first_data_rows(book).drop("sheet"), "path")
 

@@ -1,7 +1,6 @@
 """Workbooks as published, written by Spark from ``lineitem``: one or more per supplier.
 
-Each monthly row contributes its value cells and the headers above and beside
-them; cells met by several rows fold into one.
+Headers come once per workbook, values once per monthly row.
 """
 
 from __future__ import annotations
@@ -32,13 +31,23 @@ def cell(row, col, text=None, num=None, ts=None, amount=None, sheet: str = "Hoja
     )
 
 
-def workbooks(rows: DataFrame, path: Column, cells: list[Column]) -> DataFrame:
-    """Cell table of the given cells of each row; cells without content are blank."""
-    spread = rows.select(path.cast("string").alias("path"), F.explode(F.array(*cells)).alias("c")).select("path", "c.*")
-    folded = spread.groupBy("path", "sheet", "sheet_no", "row", "col").agg(
-        F.max("text").alias("text"), F.coalesce(F.sum("amount"), F.max("num")).alias("num"), F.max("ts").alias("ts")
-    )
-    return folded.where("text is not null or num is not null or ts is not null")
+def workbooks(rows: DataFrame, path: Column, fixed: list[Column], own: list[Column],
+              shared: list[Column] = ()) -> DataFrame:
+    """Cell table: ``fixed`` cells once per workbook, ``own`` cells once per row, ``shared`` cells
+    folded where several rows meet in them. Cells without content are blank."""
+    named = rows.withColumn("path", path.cast("string"))
+    columns = ["path", "sheet", "sheet_no", "row", "col", "text", "num", "ts"]
+
+    def spread(frame: DataFrame, cells: list[Column]) -> DataFrame:
+        return frame.select("path", F.explode(F.array(*cells)).alias("c")).select("path", "c.*")
+
+    book = spread(named.select("path").distinct(), fixed).unionByName(spread(named, own)).select(*columns)
+    if shared:
+        folded = spread(named, shared).groupBy(*columns[:5]).agg(
+            F.max("text").alias("text"), F.coalesce(F.sum("amount"), F.max("num")).alias("num"), F.max("ts").alias("ts")
+        )
+        book = book.unionByName(folded)
+    return book.where("text is not null or num is not null or ts is not null")
 
 
 def flagged_months(spark, sf_dir) -> DataFrame:
@@ -62,11 +71,13 @@ FLAGGED_MONTHS = """flagged AS (
 def year_matrix_book(months: DataFrame) -> DataFrame:
     """Months down, years across below header row 9, with a total row."""
     month, at = F.month("date"), F.year("date") - 1994
-    return workbooks(months, F.col("supplier"), [
-        cell(0, 0, "Remesas"), cell(9, 0, "Mes"), cell(9, at, num=F.year("date")),
-        cell(9 + month, 0, named_month(F.col("date"))), cell(9 + month, at, amount=F.col("quantity")),
-        cell(22, 0, "Total"), cell(22, at, amount=F.col("quantity")),
-    ])
+    return workbooks(
+        months, F.col("supplier"),
+        fixed=[cell(0, 0, "Remesas"), cell(9, 0, "Mes"), cell(22, 0, "Total")],
+        own=[cell(9 + month, at, num=F.col("quantity"))],
+        shared=[cell(9, at, num=F.year("date")), cell(9 + month, 0, named_month(F.col("date"))),
+                cell(22, at, amount=F.col("quantity"))],
+    )
 
 
 def two_row_book(months: DataFrame) -> DataFrame:
@@ -75,33 +86,38 @@ def two_row_book(months: DataFrame) -> DataFrame:
     place = F.when(F.col("flag") == "A", 3).when(F.col("flag") == "N", 4).otherwise(5)
     name = F.when(F.col("flag") == "A", "Cemento gris").when(F.col("flag") == "N", "Agregados").otherwise("Acero")
     written = F.when(F.col("flag") == "N", F.format_number("quantity", 2))
-    return workbooks(months, F.col("supplier"), [
-        cell(0, 0, "No"), cell(0, 1, "Material"), cell(0, 2, "Indice base diciembre 2018"),
-        cell(0, at - F.month("date") + 1, F.concat(F.lit("Indices "), F.year("date"))),
-        cell(1, at, named_month(F.col("date"))), cell(place, 1, name), cell(place, 2, num=100.0),
-        cell(place, at, written, num=F.when(written.isNull(), F.col("quantity"))),
-    ])
+    return workbooks(
+        months, F.col("supplier"),
+        fixed=[cell(0, 0, "No"), cell(0, 1, "Material"), cell(0, 2, "Indice base diciembre 2018")],
+        own=[cell(place, at, written, num=F.when(written.isNull(), F.col("quantity")))],
+        shared=[cell(0, at - F.month("date") + 1, F.concat(F.lit("Indices "), F.year("date"))),
+                cell(1, at, named_month(F.col("date"))), cell(place, 1, name), cell(place, 2, num=100.0)],
+    )
 
 
 def listing_book(months: DataFrame) -> DataFrame:
     """A plain table below header row 2."""
     at = month_index() + 3
-    return workbooks(months, F.col("supplier"), [
-        cell(0, 0, "Informe"), cell(2, 0, "Año"), cell(2, 1, "Mes"), cell(2, 2, "Cantidad"), cell(2, 3, "Valor (USD)"),
-        cell(at, 0, num=F.year("date")), cell(at, 1, named_month(F.col("date"))), cell(at, 2, num=F.col("quantity")),
-        cell(at, 3, F.format_number("revenue", 2)),
-    ])
+    return workbooks(
+        months, F.col("supplier"),
+        fixed=[cell(0, 0, "Informe"), cell(2, 0, "Año"), cell(2, 1, "Mes"), cell(2, 2, "Cantidad"), cell(2, 3, "Valor (USD)")],
+        own=[cell(at, 0, num=F.year("date")), cell(at, 1, named_month(F.col("date"))), cell(at, 2, num=F.col("quantity")),
+             cell(at, 3, F.format_number("revenue", 2))],
+    )
 
 
-def aggregate_cells(months: DataFrame) -> list[Column]:
-    """Cells of an aggregate sheet: titles, then dated rows with up to four values."""
+def aggregate_book(months: DataFrame, path: Column) -> DataFrame:
+    """An aggregate sheet: titles, then dated rows with up to four values."""
     at, sheet = month_index() + 5, {"sheet": "C.1", "sheet_no": 0}
-    return [
-        cell(0, 0, "IMAE", **sheet), cell(1, 0, num=2013.0, **sheet), cell(3, 0, "Período", **sheet),
-        cell(at, 0, ts=F.col("date"), **sheet), cell(at, 1, num=F.col("lines") * 10, **sheet),
-        cell(at, 2, F.col("lines").cast("string"), **sheet), cell(at, 3, "n/d", **sheet),
-        cell(at, 4, num=F.when(F.col("lines") > 1, F.col("lines")), **sheet),
-    ]
+    return workbooks(
+        months, path,
+        fixed=[cell(0, 0, "IMAE", **sheet), cell(1, 0, num=2013.0, **sheet), cell(3, 0, "Período", **sheet)],
+        own=[
+            cell(at, 0, ts=F.col("date"), **sheet), cell(at, 1, num=F.col("lines") * 10, **sheet),
+            cell(at, 2, F.col("lines").cast("string"), **sheet), cell(at, 3, "n/d", **sheet),
+            cell(at, 4, num=F.when(F.col("lines") > 1, F.col("lines")), **sheet),
+        ],
+    )
 
 
 def activity_books(months: DataFrame) -> DataFrame:
@@ -109,44 +125,47 @@ def activity_books(months: DataFrame) -> DataFrame:
     aggregate sheet), older layout with four blocks for R."""
     path = F.concat_ws("-", F.col("supplier").cast("string"), "flag")
     at, c2 = month_index() + 8, {"sheet": "C.2", "sheet_no": 1}
-    current = [
-        cell(0, 0, "Índice", **c2), cell(6, 0, "Período", **c2), cell(6, 1, "A", **c2), cell(6, 5, "F", **c2),
-        cell(6, 6, "IMAE", **c2), cell(7, 1, "Agricultura", **c2), cell(7, 5, "Construcción", **c2),
-        cell(2, 10, "Variación interanual", **c2), cell(6, 9, "Período", **c2), cell(6, 15, "IMAE", **c2),
-        cell(7, 12, "Construcción", **c2),
-        cell(at, 0, ts=F.col("date"), **c2), cell(at, 1, num=-1.0, **c2), cell(at, 5, num=F.col("quantity"), **c2),
-        cell(at, 6, num=F.col("lines"), **c2), cell(at, 9, F.date_format("date", "yyyy/M"), **c2),
-        cell(at, 12, num=F.col("price"), **c2),
-        cell(at, 15, num=F.when(F.col("lines") > 1, F.col("lines") * 2), **c2),
-    ]
-    old = {"sheet": "Componentes nuevos", "sheet_no": 1}
-    at = month_index() + 7
-    older = [cell(0, 0, "Resumen de construcción", sheet="Resumen", sheet_no=0)]
+    current = workbooks(
+        months.where("flag in ('A', 'N')"), path,
+        fixed=[
+            cell(0, 0, "Índice", **c2), cell(6, 0, "Período", **c2), cell(6, 1, "A", **c2), cell(6, 5, "F", **c2),
+            cell(6, 6, "IMAE", **c2), cell(7, 1, "Agricultura", **c2), cell(7, 5, "Construcción", **c2),
+            cell(2, 10, "Variación interanual", **c2), cell(6, 9, "Período", **c2), cell(6, 15, "IMAE", **c2),
+            cell(7, 12, "Construcción", **c2),
+        ],
+        own=[
+            cell(at, 0, ts=F.col("date"), **c2), cell(at, 1, num=-1.0, **c2), cell(at, 5, num=F.col("quantity"), **c2),
+            cell(at, 6, num=F.col("lines"), **c2), cell(at, 9, F.date_format("date", "yyyy/M"), **c2),
+            cell(at, 12, num=F.col("price"), **c2),
+            cell(at, 15, num=F.when(F.col("lines") > 1, F.col("lines") * 2), **c2),
+        ],
+    )
+    at, old = month_index() + 7, {"sheet": "Componentes nuevos", "sheet_no": 1}
+    headers, values = [cell(0, 0, "Resumen de construcción", sheet="Resumen", sheet_no=0)], []
     for block in range(4):
         start = 16 * block
-        older += [
+        headers += [
             cell(6, start, "Período", **old), cell(6, start + 3, "Comercio", **old),
             cell(6, start + 5, "Construcción", **old), cell(6, start + 14, "IMAE", **old),
+        ]
+        values += [
             cell(at, start, ts=F.col("date"), **old), cell(at, start + 5, num=F.col("quantity") + block, **old),
             cell(at, start + 14, num=F.col("price") + block, **old),
         ]
-    books = [
-        workbooks(months.where("flag in ('A', 'N')"), path, current),
-        workbooks(months.where("flag = 'A'"), path, aggregate_cells(months)),
-        workbooks(months.where("flag = 'R'"), path, older),
-    ]
-    return books[0].unionByName(books[1]).unionByName(books[2])
+    older = workbooks(months.where("flag = 'R'"), path, headers, values)
+    return current.unionByName(aggregate_book(months.where("flag = 'A'"), path)).unionByName(older)
 
 
 def numbered_book(months: DataFrame) -> DataFrame:
     """A table from row 0 without blank rows: months in order from row 1."""
     at = F.row_number().over(Window.partitionBy("supplier").orderBy("date"))
     placed = months.select("supplier", "date", "quantity", "lines", at.alias("at"))
-    return workbooks(placed, F.col("supplier"), [
-        cell(0, 0, "Mes"), cell(0, 1, "Cantidad"), cell(0, 2, "Líneas"),
-        cell(F.col("at"), 0, named_month(F.col("date"))), cell(F.col("at"), 1, num=F.col("quantity")),
-        cell(F.col("at"), 2, num=F.col("lines")),
-    ])
+    return workbooks(
+        placed, F.col("supplier"),
+        fixed=[cell(0, 0, "Mes"), cell(0, 1, "Cantidad"), cell(0, 2, "Líneas")],
+        own=[cell(F.col("at"), 0, named_month(F.col("date"))), cell(F.col("at"), 1, num=F.col("quantity")),
+             cell(F.col("at"), 2, num=F.col("lines"))],
+    )
 
 
 def csv_files(months: DataFrame) -> DataFrame:

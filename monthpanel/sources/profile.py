@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthpanel.fixed import CSV_MISSING, DATE_LIKE, DELIMITERS
@@ -32,42 +32,40 @@ def profile_sheets(cells: DataFrame, max_header_rows: int = 12, sample_rows: int
     in_body = F.col("row") > F.col("header_row")
     columns = spread.groupBy(*SHEET, "header_row", "col").agg(
         F.max(F.when(~in_body, F.col("label"))).alias("label"),
-        F.count(F.when(in_body, 1)).alias("filled"),
+        F.collect_set(F.when(in_body, F.col("row"))).alias("filled_rows"),
         F.count(F.when(in_body & F.col("is_number"), 1)).alias("numbers"),
-        F.collect_set(F.when(in_body, F.col("row"))).alias("body_rows"),
-    ).where("filled > 0")
-    unnamed = F.concat(F.lit("unnamed_"), F.col("col").cast("string"))
-    name = F.when(F.col("label").isNull(), unnamed).otherwise(slug(F.col("label")))
-    sized = columns.groupBy(*SHEET, "header_row").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("body_rows")))).cast("long").alias("rows"),
-        F.sort_array(F.collect_list(F.struct("col", name.alias("name"), "label", "numbers"))).alias("found"),
     )
-    return _accepted(sized, [*SHEET, "header_row"])
-
+    return _accepted(columns.withColumn("in_header", F.lit(True)), [*SHEET, "header_row"])
 
-def _accepted(sized: DataFrame, ids: list[str]) -> DataFrame:
-    """Apply the acceptance rule to ``rows`` and ``found`` (structs of col, name, label, numbers)."""
 
-    def distinct_name(column: Column, place: Column) -> Column:
-        earlier = F.filter(F.slice("found", F.lit(1), place), lambda c: c["label"] == column["label"])
-        repeats = F.size(earlier)
-        return F.struct(
-            F.when(repeats > 0, F.concat_ws("_", column["name"], repeats)).otherwise(column["name"]).alias("name"),
-            column["numbers"].alias("numbers"),
-        )
+def _accepted(columns: DataFrame, ids: list[str]) -> DataFrame:
+    """Tables from their columns, where the acceptance rule holds.
 
-    named = sized.select(*ids, "rows", F.transform("found", distinct_name).alias("found"))
-    names = F.transform("found", lambda c: c["name"])
-    dates = F.filter(names, lambda n: contains_any(n, DATE_LIKE))
-    numeric = F.transform(
-        F.filter("found", lambda c: c["numbers"] * 2 >= F.col("rows")), lambda c: c["name"]
+    Takes ``col, label, filled_rows, numbers, in_header`` per column. A column
+    without values is dropped; a table with a column outside its header is none.
+    Repeated labels are numbered. One exchange by table serves the numbering and
+    the aggregation, over at most as many rows as a table has columns.
+    """
+    unnamed = F.concat(F.lit("unnamed_"), F.col("col").cast("string"))
+    name = F.when(F.coalesce(F.trim("label"), F.lit("")) == "", unnamed).otherwise(slug(F.col("label")))
+    numbered = columns.repartition(*ids).select(
+        *ids, "col", "filled_rows", "numbers", "in_header", name.alias("name"),
+        F.row_number().over(Window.partitionBy(*ids, "label").orderBy("col")).alias("place"),
     )
-    return named.select(
-        *ids, "rows", F.size("found").cast("long").alias("columns"), names.alias("column_names"),
-        dates.alias("date_like_columns"), numeric.alias("numeric_like_columns"),
-    ).where(
-        (F.col("columns") >= 2)
-        & ((F.size("date_like_columns") > 0) | (F.size("numeric_like_columns") >= 2))
+    full_name = F.when(F.col("place") > 1, F.concat_ws("_", "name", F.col("place") - 1)).otherwise(F.col("name"))
+    filled = F.size("filled_rows") > 0
+    tables = numbered.select(*ids, "col", "filled_rows", "numbers", "in_header", full_name.alias("name")).groupBy(*ids).agg(
+        F.bool_and("in_header").alias("regular"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("filled_rows")))).cast("long").alias("rows"),
+        F.sort_array(F.collect_list(F.when(filled, F.struct("col", "name", "numbers")))).alias("found"),
+    ).where(F.col("regular") & (F.size("found") >= 2))
+    dates = F.filter("found", lambda c: contains_any(c["name"], DATE_LIKE))
+    numeric = F.filter("found", lambda c: c["numbers"] * 2 >= F.col("rows"))
+    accepted = tables.where((F.size(dates) > 0) | (F.size(numeric) >= 2))
+    return accepted.select(
+        *ids, "rows", F.size("found").cast("long").alias("columns"), F.col("found.name").alias("column_names"),
+        F.transform(dates, lambda c: c["name"]).alias("date_like_columns"),
+        F.transform(numeric, lambda c: c["name"]).alias("numeric_like_columns"),
     )
 
 
@@ -75,9 +73,9 @@ def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
                      sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """First delimiter under which a whole-file text reads as a table, with the table's profile.
 
-    All work stays inside the row of a file, so nothing is shuffled. Delimiters
-    and line ends inside double quotes do not split. A line with more fields than
-    the header rules a delimiter out.
+    Delimiters and line ends inside double quotes do not split. A line with more
+    fields than the header rules a delimiter out. Fields are counted per file and
+    column map-side, so a shuffle carries one row per column of each attempt.
     """
     marks = "".join(DELIMITERS) + "\n"
     covers = "".join(chr(1 + i) for i in range(len(marks)))
@@ -86,43 +84,31 @@ def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
         F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.translate(p, marks, covers)).otherwise(p)), ""
     )
     lines = F.slice(F.filter(F.split(shielded, "\n"), lambda line: line != ""), 1, sample_rows + 1)
-    tables = files.select(F.col(path).alias("path"), lines.alias("lines"))
-
-    def fields_by(mark: str) -> Column:
-        return F.transform("lines", lambda line: F.split(line, re.escape(mark)))
-
-    tried = tables.select("path", F.posexplode(F.array(*[
-        F.struct(F.lit(mark).alias("delimiter"), fields_by(mark).alias("fields")) for mark in DELIMITERS
-    ])).alias("attempt", "try")).select("path", "attempt", "try.delimiter", "try.fields")
-
-    def is_missing(field: Column) -> Column:
-        return field.isin(CSV_MISSING)
-
-    header = F.element_at("fields", 1)
-    body = F.filter(
-        F.slice("fields", 2, sample_rows), lambda row: F.exists(row, lambda field: ~is_missing(field))
+    # A delimiter needs two header fields, so only those of the first line are tried.
+    met = F.filter(
+        F.array(*[F.struct(F.lit(i).alias("attempt"), F.lit(m).alias("mark")) for i, m in enumerate(DELIMITERS)]),
+        lambda d: F.contains(F.element_at("lines", 1), d["mark"]),
+    )
+    split = reduce(
+        lambda chain, mark: chain.when(F.col("delimiter") == mark, F.split("line", re.escape(mark))),
+        DELIMITERS[1:], F.when(F.col("delimiter") == DELIMITERS[0], F.split("line", re.escape(DELIMITERS[0]))),
+    )
+    fields = (
+        files.select(F.col(path).alias("path"), lines.alias("lines"))
+        .select("path", "lines", F.explode(met).alias("d"))
+        .select("path", F.col("d.attempt").alias("attempt"), F.col("d.mark").alias("delimiter"),
+                F.posexplode("lines").alias("row", "line"))
+        .select("path", "attempt", "delimiter", "row", F.posexplode(split).alias("col", "field"))
+        .withColumn("field", F.translate("field", covers, marks))
     )
-    shaped = tried.where(F.size("fields") > 1).select(
-        "path", "attempt", "delimiter", header.alias("header"), body.alias("body"),
-        F.exists("fields", lambda row: F.size(row) > F.size(header)).alias("ragged"),
-    ).where("not ragged and size(body) > 0 and size(header) >= 2")
-
-    def column_of(name: Column, place: Column) -> Column:
-        values = F.filter(
-            F.transform("body", lambda row: F.get(row, place)), lambda v: v.isNotNull() & ~is_missing(v)
-        )
-        unnamed = F.concat(F.lit("unnamed_"), place.cast("string"))
-        return F.struct(
-            place.alias("col"), F.when(F.trim(name) == "", unnamed).otherwise(slug(name)).alias("name"),
-            name.alias("label"), F.size(values).alias("filled"),
-            F.size(F.filter(values, lambda v: parse_number(v).isNotNull())).alias("numbers"),
-        )
-
-    sized = shaped.select(
-        "path", "attempt", "delimiter", F.size("body").cast("long").alias("rows"),
-        F.filter(F.transform("header", column_of), lambda c: c["filled"] > 0).alias("found"),
+    in_body = F.col("row") > 0
+    present = in_body & ~F.col("field").isin(CSV_MISSING)
+    columns = fields.groupBy("path", "attempt", "delimiter", "col").agg(
+        F.max(F.when(~in_body, F.col("field"))).alias("label"), F.bool_or(~in_body).alias("in_header"),
+        F.collect_set(F.when(present, F.col("row"))).alias("filled_rows"),
+        F.count(F.when(present & parse_number(F.col("field")).isNotNull(), 1)).alias("numbers"),
     )
-    accepted = _accepted(sized, ["path", "attempt", "delimiter"])
+    accepted = _accepted(columns, ["path", "attempt", "delimiter"])
     best = F.min_by(F.struct(*[c for c in accepted.columns if c not in ("path", "attempt")]), F.col("attempt"))
     return accepted.groupBy("path").agg(best.alias("best")).select("path", "best.*")
 
