@@ -12,6 +12,7 @@ from monthpanel.operators.panel import to_wide
 from monthpanel.operators.reshape import (
     construction_records, material_index, two_row_header, year_matrix, year_matrix_cells,
 )
+from monthpanel.operators.settle import settle
 from monthpanel.plans.queries_clean import named_month
 from monthpanel.plans.sheets import (
     FLAGGED_MONTHS, activity_books, aggregate_book, flagged_months, listing_book, two_row_book, year_matrix_book,
@@ -70,7 +71,7 @@ def header_promote(spark, sf_dir):
 
 
 def sheet_first_data_row(spark, sf_dir):
-    book = aggregate_book(supplier_month(spark, sf_dir), F.col("supplier"))
+    book = aggregate_book(supplier_month(spark, sf_dir), "supplier")
     observed = aggregate_sheet(book).where("value is not null")
     return observed.join(first_data_rows(book).drop("sheet"), "path")
 
@@ -80,7 +81,8 @@ def sheet_detect(spark, sf_dir):
 
 
 def block_discovery(spark, sf_dir):
-    return activity_series(activity_books(flagged_months(spark, sf_dir)))
+    # Five readers share the cells; a cell table is stored, not derived, in real use.
+    return activity_series(settle(activity_books(flagged_months(spark, sf_dir))))
 
 
 QUERIES = {

@@ -1,49 +1,47 @@
 """Workbooks as published, written by Spark from ``lineitem``: one or more per supplier.
 
-Headers come once per workbook, values once per monthly row.
+Headers come once per workbook, values once per monthly row. Cells are given as
+SQL expressions over the monthly row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthpanel.functions.months import month_start
-from monthpanel.plans.queries_clean import named_month
+from monthpanel.plans.queries_clean import SPANISH
 from monthpanel.plans.views import table
 
-def month_index(first_year: int = 1995) -> Column:
-    """Months since January of a first year."""
-    return (F.year("date") - first_year) * 12 + F.month("date") - 1
+MONTH_INDEX = "((year(date) - 1995) * 12 + month(date) - 1)"
+MONTH_NAME = f"element_at(array({', '.join(repr(m) for m in SPANISH)}), month(date))"
+COLUMNS = ["path", "sheet", "sheet_no", "row", "col", "text", "num", "ts"]
 
 
-def cell(row, col, text=None, num=None, ts=None, amount=None, sheet: str = "Hoja1", sheet_no: int = 0) -> Column:
+def cell(row, col, text=None, num=None, ts=None, amount=None, sheet: str = "Hoja1", sheet_no: int = 0) -> str:
     """One cell; ``amount`` is a number summed over the rows that meet in the cell."""
-    def typed(value, kind):
-        if value is None:
-            return F.lit(None).cast(kind)
-        return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
-
-    return F.struct(
-        F.lit(sheet).alias("sheet"), F.lit(sheet_no).alias("sheet_no"), typed(row, "int").alias("row"),
-        typed(col, "int").alias("col"), typed(text, "string").alias("text"), typed(num, "double").alias("num"),
-        typed(ts, "timestamp").alias("ts"), typed(amount, "double").alias("amount"),
-    )
+    typed = {"row": (row, "int"), "col": (col, "int"), "text": (text, "string"), "num": (num, "double"),
+             "ts": (ts, "timestamp"), "amount": (amount, "double")}
+    parts = [f"'{n}', cast({'null' if v is None else v} AS {kind})" for n, (v, kind) in typed.items()]
+    return f"named_struct('sheet', '{sheet}', 'sheet_no', {sheet_no}, {', '.join(parts)})"
+
+
+def word(row: int, col: int, text: str, **sheet) -> str:
+    """A cell with a constant text."""
+    return cell(row, col, f"'{text}'", **sheet)
 
 
-def workbooks(rows: DataFrame, path: Column, fixed: list[Column], own: list[Column],
-              shared: list[Column] = ()) -> DataFrame:
+def workbooks(rows: DataFrame, path: str, fixed: list[str], own: list[str], shared: list[str] = ()) -> DataFrame:
     """Cell table: ``fixed`` cells once per workbook, ``own`` cells once per row, ``shared`` cells
     folded where several rows meet in them. Cells without content are blank."""
-    named = rows.withColumn("path", path.cast("string"))
-    columns = ["path", "sheet", "sheet_no", "row", "col", "text", "num", "ts"]
+    named = rows.withColumn("path", F.expr(f"cast({path} AS string)"))
 
-    def spread(frame: DataFrame, cells: list[Column]) -> DataFrame:
-        return frame.select("path", F.explode(F.array(*cells)).alias("c")).select("path", "c.*")
+    def spread(frame: DataFrame, cells: list[str]) -> DataFrame:
+        return frame.select("path", F.expr(f"inline(array({', '.join(cells)}))"))
 
-    book = spread(named.select("path").distinct(), fixed).unionByName(spread(named, own)).select(*columns)
+    book = spread(named.select("path").distinct(), fixed).unionByName(spread(named, own)).select(*COLUMNS)
     if shared:
-        folded = spread(named, shared).groupBy(*columns[:5]).agg(
+        folded = spread(named, shared).groupBy(*COLUMNS[:5]).agg(
             F.max("text").alias("text"), F.coalesce(F.sum("amount"), F.max("num")).alias("num"), F.max("ts").alias("ts")
         )
         book = book.unionByName(folded)
@@ -70,52 +68,49 @@ FLAGGED_MONTHS = """flagged AS (
 
 def year_matrix_book(months: DataFrame) -> DataFrame:
     """Months down, years across below header row 9, with a total row."""
-    month, at = F.month("date"), F.year("date") - 1994
+    month, at = "9 + month(date)", "year(date) - 1994"
     return workbooks(
-        months, F.col("supplier"),
-        fixed=[cell(0, 0, "Remesas"), cell(9, 0, "Mes"), cell(22, 0, "Total")],
-        own=[cell(9 + month, at, num=F.col("quantity"))],
-        shared=[cell(9, at, num=F.year("date")), cell(9 + month, 0, named_month(F.col("date"))),
-                cell(22, at, amount=F.col("quantity"))],
+        months, "supplier",
+        fixed=[word(0, 0, "Remesas"), word(9, 0, "Mes"), word(22, 0, "Total")],
+        own=[cell(month, at, num="quantity")],
+        shared=[cell(9, at, num="year(date)"), cell(month, 0, MONTH_NAME), cell(22, at, amount="quantity")],
     )
 
 
 def two_row_book(months: DataFrame) -> DataFrame:
     """Years over months across, one row per return flag; years stand over January only."""
-    at = month_index() + 3
-    place = F.when(F.col("flag") == "A", 3).when(F.col("flag") == "N", 4).otherwise(5)
-    name = F.when(F.col("flag") == "A", "Cemento gris").when(F.col("flag") == "N", "Agregados").otherwise("Acero")
-    written = F.when(F.col("flag") == "N", F.format_number("quantity", 2))
+    at, place = f"{MONTH_INDEX} + 3", "case flag when 'A' then 3 when 'N' then 4 else 5 end"
+    name = "case flag when 'A' then 'Cemento gris' when 'N' then 'Agregados' else 'Acero' end"
     return workbooks(
-        months, F.col("supplier"),
-        fixed=[cell(0, 0, "No"), cell(0, 1, "Material"), cell(0, 2, "Indice base diciembre 2018")],
-        own=[cell(place, at, written, num=F.when(written.isNull(), F.col("quantity")))],
-        shared=[cell(0, at - F.month("date") + 1, F.concat(F.lit("Indices "), F.year("date"))),
-                cell(1, at, named_month(F.col("date"))), cell(place, 1, name), cell(place, 2, num=100.0)],
+        months, "supplier",
+        fixed=[word(0, 0, "No"), word(0, 1, "Material"), word(0, 2, "Indice base diciembre 2018")],
+        own=[cell(place, at, "case when flag = 'N' then format_number(quantity, 2) end",
+                  num="case when flag <> 'N' then quantity end")],
+        shared=[cell(0, f"{at} - month(date) + 1", "concat('Indices ', year(date))"), cell(1, at, MONTH_NAME),
+                cell(place, 1, name), cell(place, 2, num="100.0")],
     )
 
 
 def listing_book(months: DataFrame) -> DataFrame:
     """A plain table below header row 2."""
-    at = month_index() + 3
+    at = f"{MONTH_INDEX} + 3"
     return workbooks(
-        months, F.col("supplier"),
-        fixed=[cell(0, 0, "Informe"), cell(2, 0, "Año"), cell(2, 1, "Mes"), cell(2, 2, "Cantidad"), cell(2, 3, "Valor (USD)")],
-        own=[cell(at, 0, num=F.year("date")), cell(at, 1, named_month(F.col("date"))), cell(at, 2, num=F.col("quantity")),
-             cell(at, 3, F.format_number("revenue", 2))],
+        months, "supplier",
+        fixed=[word(0, 0, "Informe"), word(2, 0, "Año"), word(2, 1, "Mes"), word(2, 2, "Cantidad"), word(2, 3, "Valor (USD)")],
+        own=[cell(at, 0, num="year(date)"), cell(at, 1, MONTH_NAME), cell(at, 2, num="quantity"),
+             cell(at, 3, "format_number(revenue, 2)")],
     )
 
 
-def aggregate_book(months: DataFrame, path: Column) -> DataFrame:
+def aggregate_book(months: DataFrame, path: str) -> DataFrame:
     """An aggregate sheet: titles, then dated rows with up to four values."""
-    at, sheet = month_index() + 5, {"sheet": "C.1", "sheet_no": 0}
+    at, sheet = f"{MONTH_INDEX} + 5", {"sheet": "C.1", "sheet_no": 0}
     return workbooks(
         months, path,
-        fixed=[cell(0, 0, "IMAE", **sheet), cell(1, 0, num=2013.0, **sheet), cell(3, 0, "Período", **sheet)],
+        fixed=[word(0, 0, "IMAE", **sheet), cell(1, 0, num="2013.0", **sheet), word(3, 0, "Período", **sheet)],
         own=[
-            cell(at, 0, ts=F.col("date"), **sheet), cell(at, 1, num=F.col("lines") * 10, **sheet),
-            cell(at, 2, F.col("lines").cast("string"), **sheet), cell(at, 3, "n/d", **sheet),
-            cell(at, 4, num=F.when(F.col("lines") > 1, F.col("lines")), **sheet),
+            cell(at, 0, ts="date", **sheet), cell(at, 1, num="lines * 10", **sheet), cell(at, 2, "lines", **sheet),
+            cell(at, 3, "'n/d'", **sheet), cell(at, 4, num="case when lines > 1 then lines end", **sheet),
         ],
     )
 
@@ -123,34 +118,33 @@ def aggregate_book(months: DataFrame, path: Column) -> DataFrame:
 def activity_books(months: DataFrame) -> DataFrame:
     """A workbook per supplier and flag: current layout for A and N (A also with an
     aggregate sheet), older layout with four blocks for R."""
-    path = F.concat_ws("-", F.col("supplier").cast("string"), "flag")
-    at, c2 = month_index() + 8, {"sheet": "C.2", "sheet_no": 1}
+    path = "concat(supplier, '-', flag)"
+    at, c2 = f"{MONTH_INDEX} + 8", {"sheet": "C.2", "sheet_no": 1}
     current = workbooks(
         months.where("flag in ('A', 'N')"), path,
         fixed=[
-            cell(0, 0, "Índice", **c2), cell(6, 0, "Período", **c2), cell(6, 1, "A", **c2), cell(6, 5, "F", **c2),
-            cell(6, 6, "IMAE", **c2), cell(7, 1, "Agricultura", **c2), cell(7, 5, "Construcción", **c2),
-            cell(2, 10, "Variación interanual", **c2), cell(6, 9, "Período", **c2), cell(6, 15, "IMAE", **c2),
-            cell(7, 12, "Construcción", **c2),
+            word(0, 0, "Índice", **c2), word(6, 0, "Período", **c2), word(6, 1, "A", **c2), word(6, 5, "F", **c2),
+            word(6, 6, "IMAE", **c2), word(7, 1, "Agricultura", **c2), word(7, 5, "Construcción", **c2),
+            word(2, 10, "Variación interanual", **c2), word(6, 9, "Período", **c2), word(6, 15, "IMAE", **c2),
+            word(7, 12, "Construcción", **c2),
         ],
         own=[
-            cell(at, 0, ts=F.col("date"), **c2), cell(at, 1, num=-1.0, **c2), cell(at, 5, num=F.col("quantity"), **c2),
-            cell(at, 6, num=F.col("lines"), **c2), cell(at, 9, F.date_format("date", "yyyy/M"), **c2),
-            cell(at, 12, num=F.col("price"), **c2),
-            cell(at, 15, num=F.when(F.col("lines") > 1, F.col("lines") * 2), **c2),
+            cell(at, 0, ts="date", **c2), cell(at, 1, num="-1", **c2), cell(at, 5, num="quantity", **c2),
+            cell(at, 6, num="lines", **c2), cell(at, 9, "date_format(date, 'yyyy/M')", **c2),
+            cell(at, 12, num="price", **c2), cell(at, 15, num="case when lines > 1 then lines * 2 end", **c2),
         ],
     )
-    at, old = month_index() + 7, {"sheet": "Componentes nuevos", "sheet_no": 1}
-    headers, values = [cell(0, 0, "Resumen de construcción", sheet="Resumen", sheet_no=0)], []
+    at, old = f"{MONTH_INDEX} + 7", {"sheet": "Componentes nuevos", "sheet_no": 1}
+    headers, values = [word(0, 0, "Resumen de construcción", sheet="Resumen", sheet_no=0)], []
     for block in range(4):
         start = 16 * block
         headers += [
-            cell(6, start, "Período", **old), cell(6, start + 3, "Comercio", **old),
-            cell(6, start + 5, "Construcción", **old), cell(6, start + 14, "IMAE", **old),
+            word(6, start, "Período", **old), word(6, start + 3, "Comercio", **old),
+            word(6, start + 5, "Construcción", **old), word(6, start + 14, "IMAE", **old),
         ]
         values += [
-            cell(at, start, ts=F.col("date"), **old), cell(at, start + 5, num=F.col("quantity") + block, **old),
-            cell(at, start + 14, num=F.col("price") + block, **old),
+            cell(at, start, ts="date", **old), cell(at, start + 5, num=f"quantity + {block}", **old),
+            cell(at, start + 14, num=f"price + {block}", **old),
         ]
     older = workbooks(months.where("flag = 'R'"), path, headers, values)
     return current.unionByName(aggregate_book(months.where("flag = 'A'"), path)).unionByName(older)
@@ -161,10 +155,9 @@ def numbered_book(months: DataFrame) -> DataFrame:
     at = F.row_number().over(Window.partitionBy("supplier").orderBy("date"))
     placed = months.select("supplier", "date", "quantity", "lines", at.alias("at"))
     return workbooks(
-        placed, F.col("supplier"),
-        fixed=[cell(0, 0, "Mes"), cell(0, 1, "Cantidad"), cell(0, 2, "Líneas")],
-        own=[cell(F.col("at"), 0, named_month(F.col("date"))), cell(F.col("at"), 1, num=F.col("quantity")),
-             cell(F.col("at"), 2, num=F.col("lines"))],
+        placed, "supplier",
+        fixed=[word(0, 0, "Mes"), word(0, 1, "Cantidad"), word(0, 2, "Líneas")],
+        own=[cell("at", 0, MONTH_NAME), cell("at", 1, num="quantity"), cell("at", 2, num="lines")],
     )
 
 
