@@ -179,22 +179,19 @@ def composite_target(df: DataFrame, candidates: list[str] | None = None, target:
     numbers = df.select("*", *[to_number(F.col(c)).alias(h) for c, h in hidden.items()])
     if interpolate:
         numbers = interpolate_inside(numbers, list(hidden.values()), keys)
-    stats = [f(F.col(h)).alias(f"{h}_{n}") for h in hidden.values()
-             for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    stats = {f"{h}_{n}": f(F.col(h)) for h in hidden.values() for n, f in (("mean", F.avg), ("std", F.stddev_pop))}
     if keys:
-        # One row per key; adaptive execution broadcasts it only while it is small.
-        joined = numbers.join(numbers.groupBy(*keys).agg(*stats), list(keys), "left")
-        value = F.col
+        by_key = Window.partitionBy(*keys)
+        value = lambda name: stats[name].over(by_key)
     else:
-        joined = numbers
-        whole = numbers.agg(F.struct(*stats)).scalar()
+        whole = numbers.agg(F.struct(*[c.alias(n) for n, c in stats.items()])).scalar()
         value = lambda name: whole[name]
     scores = [
         F.try_divide(F.col(h) - value(f"{h}_mean"), F.nullif(value(f"{h}_std"), F.lit(0.0)))
         for h in hidden.values()
     ]
     count = row_count([F.col(h) for h in hidden.values()])
-    return joined.select(
+    return numbers.select(
         *[F.col(c) for c in df.columns],
         F.when(count >= min_observed, row_mean(scores)).alias(target),
         count.alias(f"{target}_source_count"),

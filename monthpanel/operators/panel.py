@@ -49,8 +49,9 @@ def merge_monthly(frames: list[DataFrame | None], keys: list[str] = (), unique_m
     """Full outer merge of monthly frames on keys and month.
 
     Frames that hold one row per key and month are stacked and folded by one
-    aggregation: one shuffle however many frames there are. With
-    ``unique_months=False`` repeated months multiply, as an outer join does.
+    aggregation: one shuffle however many frames there are, and a repeated month
+    fails the query. With ``unique_months=False`` repeated months multiply, as an
+    outer join does.
     ``skip_empty`` leaves out the columns of frames without rows (one small job each).
     """
     used = [f for f in frames if f is not None and not (skip_empty and f.isEmpty())]
@@ -65,8 +66,16 @@ def merge_monthly(frames: list[DataFrame | None], keys: list[str] = (), unique_m
     months = [truncate_to_month(f) for f in used]
     if not unique_months:
         return reduce(lambda left, right: left.join(right, on, "full_outer"), months)
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), months)
-    return stacked.groupBy(*on).agg(*[F.max(c).alias(c) for c in columns])
+    marked = [f.withColumn("__frame", F.lit(i)) for i, f in enumerate(months)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    folded = stacked.groupBy(*on).agg(
+        *[F.max(c).alias(c) for c in columns],
+        (F.count("*") == F.size(F.collect_set("__frame"))).alias("__unique"),
+    )
+    repeated = F.raise_error(F.lit("a frame repeats a month; pass unique_months=False to multiply its rows"))
+    return folded.select(*on, *[
+        F.when(F.col("__unique"), F.col(c)).otherwise(repeated.cast(folded.schema[c].dataType)).alias(c) for c in columns
+    ])
 
 
 def to_long(df: DataFrame, values: list[str], keys: list[str] = ()) -> DataFrame:
@@ -102,7 +111,8 @@ def month_spine(df: DataFrame, start: str | None = None, end: str | None = None,
 
     Rows outside the bounds vanish; a key with only such rows still gets its
     empty months. Each row covers the months up to the next one, so the spine
-    needs one window by key and no join. Open bounds are those of the whole frame.
+    needs one window by key and no join. Open bounds are those of the whole
+    frame. A repeated month fails the query.
     """
     if start is not None and end is not None:
         month_bounds(start, end)
@@ -110,6 +120,7 @@ def month_spine(df: DataFrame, start: str | None = None, end: str | None = None,
     monthly = truncate_to_month(df)
     first, last = _bound(monthly, start, F.min), _bound(monthly, end, F.max)
     by_key = Window.partitionBy(*keys).orderBy("date")
+    repeated = F.raise_error(F.lit("a month repeats; aggregate to months first")).cast("date")
     covered = monthly.select(
         *keys, *values, F.col("date").alias("__at"), first.alias("__first"), last.alias("__last"),
         F.lag("date").over(by_key).isNull().alias("__head"),
@@ -117,7 +128,8 @@ def month_spine(df: DataFrame, start: str | None = None, end: str | None = None,
     ).select(
         *keys, *values, "__at",
         F.when(F.col("__head"), F.col("__first")).otherwise(F.greatest("__first", "__at")).alias("__from"),
-        F.least("__last", F.coalesce(F.add_months("__next", -1), "__last")).alias("__to"),
+        F.when(F.col("__next") == F.col("__at"), repeated).otherwise(
+            F.least("__last", F.coalesce(F.add_months("__next", -1), "__last"))).alias("__to"),
     ).where("__from <= __to")
     months = covered.select(*keys, "__at", *values, 
                             F.explode(F.sequence("__from", "__to", F.expr("interval 1 month"))).alias("date"))

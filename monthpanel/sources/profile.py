@@ -20,22 +20,26 @@ def profile_sheets(cells: DataFrame, max_header_rows: int = 12, sample_rows: int
     """Table candidates: every sheet and header row with at least two filled columns
     and a date-like name or two numeric-like columns.
 
-    Only the rows a candidate samples are read. Each cell becomes at most
-    ``max_header_rows`` rows, which the first aggregation folds map-side into one
-    row per sheet, header row and column.
+    Only the rows a candidate samples are read. They are gathered once per sheet
+    column, at most ``max_header_rows + sample_rows`` cells each, and every
+    header row is judged on that list: cells are not multiplied by header rows.
     """
-    top = cells.where(F.col("row") < max_header_rows + sample_rows)
-    spread = top.select(
-        *SHEET, "row", "col", cell_label().alias("label"), cell_number().isNotNull().alias("is_number"),
-        F.explode(F.sequence(F.lit(0), F.least(F.lit(max_header_rows - 1), F.col("row")))).alias("header_row"),
-    ).where(F.col("row") <= F.col("header_row") + sample_rows)
-    in_body = F.col("row") > F.col("header_row")
-    columns = spread.groupBy(*SHEET, "header_row", "col").agg(
-        F.max(F.when(~in_body, F.col("label"))).alias("label"),
-        F.collect_set(F.when(in_body, F.col("row"))).alias("filled_rows"),
-        F.count(F.when(in_body & F.col("is_number"), 1)).alias("numbers"),
+    top = cells.where(F.col("row") <= max_header_rows - 1 + sample_rows)
+    label = F.when(F.col("row") < max_header_rows, cell_label())
+    gathered = top.groupBy(*SHEET, "col").agg(
+        F.collect_list(F.struct("row", label.alias("label"), cell_number().isNotNull().alias("is_number"))).alias("cells")
     )
-    return _accepted(columns.withColumn("in_header", F.lit(True)), [*SHEET, "header_row"])
+    tried = gathered.select(*SHEET, "col", "cells", F.explode(F.sequence(F.lit(0), F.lit(max_header_rows - 1))).alias("header_row"))
+    header = F.col("header_row")
+    body = F.filter("cells", lambda c: (c["row"] > header) & (c["row"] <= header + sample_rows))
+    columns = tried.select(
+        *SHEET, "header_row", "col", F.get(F.filter("cells", lambda c: c["row"] == header), F.lit(0))["label"].alias("label"),
+        body.alias("body"),
+    ).select(
+        *SHEET, "header_row", "col", "label", F.col("body.row").alias("filled_rows"),
+        F.size(F.filter("body", lambda c: c["is_number"])).alias("numbers"), F.lit(True).alias("in_header"),
+    )
+    return _accepted(columns, [*SHEET, "header_row"])
 
 
 def _accepted(columns: DataFrame, ids: list[str]) -> DataFrame:

@@ -28,6 +28,8 @@ def test_merge_outer(spark, monthly):
     assert rows(merge_monthly([left, right], unique_months=False)) == want
     twice = left.unionByName(left)
     assert merge_monthly([twice, right], unique_months=False).count() == 5
+    with pytest.raises(Exception, match="repeats a month"):
+        merge_monthly([twice, right]).collect()
     empty = monthly("2024-01", c=[1]).where("false")
     assert "c" not in merge_monthly([left, empty], skip_empty=True).columns
     with pytest.raises(ValueError, match="No non-empty"):
@@ -68,6 +70,8 @@ def test_spine(spark, monthly):
     assert month_spine(keyed, keys=["k"]).groupBy("k").count().where("count <> 4").isEmpty()
     with pytest.raises(ValueError, match="end must be"):
         month_spine(df, "2020-02-01", "2020-01-01")
+    with pytest.raises(Exception, match="a month repeats"):
+        month_spine(df.unionByName(df)).collect()
     assert month_bounds("2019-01-01", "2019-03-31") == 3
 
 
