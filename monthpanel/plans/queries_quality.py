@@ -147,14 +147,17 @@ books AS (
 files AS (
   SELECT 'doc-' || doc_id AS path, text FROM documents UNION ALL
   SELECT 'sup-' || supplier, replace('Mes~Cantidad~Líneas' || chr(10) || body, '~', [';', chr(9), '|'][supplier % 3 + 1]) FROM books),
+tried AS (
+  SELECT path, attempt, mark, chr(10) || text AS text, '[' || mark || chr(10) || ']"[^"]*(?:""[^"]*)*"' AS quoted
+  FROM files, (VALUES (0, ','), (1, ';'), (2, chr(9)), (3, '|')) a(attempt, mark)),
 shielded AS (
-  SELECT path, array_to_string(list_transform(string_split(text, '"'), lambda p, i:
-    CASE WHEN i % 2 = 0 THEN translate(p, ',;' || chr(9) || '|' || chr(10), chr(1) || chr(2) || chr(3) || chr(4) || chr(5)) ELSE p END), '') AS t
-  FROM files),
-lined AS (SELECT path, list_filter(string_split(t, chr(10)), lambda x: x <> '')[1:81] AS ls FROM shielded),
+  SELECT path, attempt, mark, array_to_string(list_transform(string_split_regex(text, quoted), lambda p, i:
+    p || coalesce((list_transform(regexp_extract_all(text, quoted), lambda q: q[1] || translate(q[2:],
+      ',;' || chr(9) || '|' || chr(10), chr(1) || chr(2) || chr(3) || chr(4) || chr(5))))[i], '')), '') AS t
+  FROM tried),
 tries AS (
-  SELECT path, attempt, mark, list_transform(ls, lambda x: string_split(x, mark)) AS f
-  FROM lined, (VALUES (0, ','), (1, ';'), (2, chr(9)), (3, '|')) a(attempt, mark)),
+  SELECT path, attempt, mark, list_transform(list_filter(string_split(t, chr(10)), lambda x: x <> '')[1:81],
+    lambda x: string_split(x, mark)) AS f FROM shielded),
 shaped AS (
   SELECT path, attempt, mark, f[1] AS h, len(f[1]) AS w,
     list_filter(f[2:81], lambda r: len(list_filter(r, lambda v: v NOT IN {_MISSING})) > 0) AS body
@@ -162,8 +165,9 @@ shaped AS (
 columns AS (SELECT path, attempt, mark, len(body) AS n, unnest(h) AS label, unnest(range(1, w + 1)) AS col FROM shaped WHERE len(body) > 0),
 fields AS (SELECT path, attempt, unnest(body) AS r FROM shaped),
 vals AS (
+  SELECT path, attempt, CASE WHEN v[1] = '"' THEN trim(v, '"') ELSE v END AS v, col FROM (
   SELECT path, attempt, translate(v, chr(1) || chr(2) || chr(3) || chr(4) || chr(5), ',;' || chr(9) || '|' || chr(10)) AS v, col
-  FROM (SELECT path, attempt, unnest(r) AS v, unnest(range(1, len(r) + 1)) AS col FROM fields)),
+  FROM (SELECT path, attempt, unnest(r) AS v, unnest(range(1, len(r) + 1)) AS col FROM fields))),
 digits AS (SELECT *, regexp_replace(v, '[^0-9,.\\-]', '', 'g') AS d FROM vals WHERE v NOT IN {_MISSING}),
 counted AS (SELECT path, attempt, col, count({_NUMBER}) AS numbers FROM digits GROUP BY 1, 2, 3),
 named AS (

@@ -14,6 +14,9 @@ from monthpanel.functions.text import contains_any, slug
 from monthpanel.sources.cells import SHEET, cell_label, cell_number
 
 SAMPLE_ROWS = 80
+# Stand-ins for delimiters and line ends inside quoted fields.
+COVERED = "".join(DELIMITERS) + "\n"
+COVERS = "".join(chr(1 + i) for i in range(len(COVERED)))
 
 
 def profile_sheets(cells: DataFrame, max_header_rows: int = 12, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -73,44 +76,65 @@ def _accepted(columns: DataFrame, ids: list[str]) -> DataFrame:
     )
 
 
+def _by_delimiter(make) -> Column:
+    """The expression of the row's delimiter, each with a constant pattern."""
+    first, *others = [(F.col("delimiter") == mark, make(mark)) for mark in DELIMITERS]
+    return reduce(lambda chain, branch: chain.when(*branch), others, F.when(*first))
+
+
+def _shielded(mark: str) -> Column:
+    """The text with delimiters and line ends inside quoted fields covered.
+
+    A quoted piece follows a delimiter or line end, or another quoted piece
+    directly (a doubled quote).
+    """
+    quoted = f'[{mark}\n]"[^"]*+"|\\G"[^"]*+"'
+    pieces = F.regexp_extract_all("text", F.lit(quoted), F.lit(0))
+
+    def covered(piece: Column) -> Column:
+        return F.concat(F.substring(piece, 1, 1), F.translate(F.substring(piece, 2, 2_000_000_000), COVERED, COVERS))
+
+    plain = F.split("text", quoted)
+    joined = F.zip_with(plain, pieces, lambda p, q: F.concat(p, F.coalesce(covered(q), F.lit(""))))
+    return F.when(F.contains("text", F.lit('"')), F.array_join(joined, "")).otherwise(F.col("text"))
+
+
 def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
                      sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """First delimiter under which a whole-file text reads as a table, with the table's profile.
 
-    Delimiters and line ends inside double quotes do not split. A line with more
-    fields than the header rules a delimiter out. Fields are counted per file and
-    column map-side, so a shuffle carries one row per column of each attempt.
+    A field that starts with a double quote keeps delimiters and line ends up to
+    its closing quote; other quotes are plain text. A line with more fields than
+    the header rules a delimiter out. Fields are counted per file and column
+    map-side, so a shuffle carries one row per column of each attempt.
     """
-    marks = "".join(DELIMITERS) + "\n"
-    covers = "".join(chr(1 + i) for i in range(len(marks)))
-    pieces = F.split(F.regexp_replace(F.col(text), "\r\n?", "\n"), '"')
-    shielded = F.array_join(
-        F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.translate(p, marks, covers)).otherwise(p)), ""
-    )
-    lines = F.slice(F.filter(F.split(shielded, "\n"), lambda line: line != ""), 1, sample_rows + 1)
-    # A delimiter needs two header fields, so only those of the first line are tried.
-    met = F.filter(
-        F.array(*[F.struct(F.lit(i).alias("attempt"), F.lit(m).alias("mark")) for i, m in enumerate(DELIMITERS)]),
-        lambda d: F.contains(F.element_at("lines", 1), d["mark"]),
-    )
-    split = reduce(
-        lambda chain, mark: chain.when(F.col("delimiter") == mark, F.split("line", re.escape(mark))),
-        DELIMITERS[1:], F.when(F.col("delimiter") == DELIMITERS[0], F.split("line", re.escape(DELIMITERS[0]))),
+    marks = [F.struct(F.lit(i).alias("attempt"), F.lit(m).alias("mark")) for i, m in enumerate(DELIMITERS)]
+    whole = F.concat(F.lit("\n"), F.regexp_replace(F.col(text), "\r\n?", "\n"))
+    head = F.substring_index(F.ltrim("text", F.lit("\n")), "\n", 1)
+    # The header must hold the delimiter; a quoted field may carry it past the first line end.
+    tried = (
+        files.select(F.col(path).alias("path"), whole.alias("text"))
+        .select("path", "text", head.alias("head"))
+        .select("path", "text", F.explode(F.filter(F.array(*marks), lambda d: F.contains("head", d["mark"]) | (
+            F.contains("head", F.lit('"')) & F.contains("text", d["mark"])))).alias("d"))
+        .select("path", F.col("d.attempt").alias("attempt"), F.col("d.mark").alias("delimiter"), "text")
     )
+    lines = F.filter(F.split(_by_delimiter(_shielded), "\n"), lambda line: line != "")
     fields = (
-        files.select(F.col(path).alias("path"), lines.alias("lines"))
-        .select("path", "lines", F.explode(met).alias("d"))
-        .select("path", F.col("d.attempt").alias("attempt"), F.col("d.mark").alias("delimiter"),
-                F.posexplode("lines").alias("row", "line"))
-        .select("path", "attempt", "delimiter", "row", F.posexplode(split).alias("col", "field"))
-        .withColumn("field", F.translate("field", covers, marks))
+        tried.select("path", "attempt", "delimiter", F.posexplode(F.slice(lines, 1, sample_rows + 1)).alias("row", "line"))
+        .select("path", "attempt", "delimiter", "row",
+                F.posexplode(_by_delimiter(lambda mark: F.split("line", re.escape(mark)))).alias("col", "field"))
+        .withColumn("field", F.translate("field", COVERS, COVERED))
+        .withColumn("field", F.when(F.startswith("field", F.lit('"')), F.btrim("field", F.lit('"'))).otherwise(F.col("field")))
     )
     in_body = F.col("row") > 0
+    # Text without a digit is no number; asking first spares prose the failing casts.
+    number = F.when(F.col("field").rlike("[0-9]"), parse_number(F.col("field")))
     present = in_body & ~F.col("field").isin(CSV_MISSING)
     columns = fields.groupBy("path", "attempt", "delimiter", "col").agg(
         F.max(F.when(~in_body, F.col("field"))).alias("label"), F.bool_or(~in_body).alias("in_header"),
         F.collect_set(F.when(present, F.col("row"))).alias("filled_rows"),
-        F.count(F.when(present & parse_number(F.col("field")).isNotNull(), 1)).alias("numbers"),
+        F.count(F.when(present & number.isNotNull(), 1)).alias("numbers"),
     )
     accepted = _accepted(columns, ["path", "attempt", "delimiter"])
     best = F.min_by(F.struct(*[c for c in accepted.columns if c not in ("path", "attempt")]), F.col("attempt"))
