@@ -45,18 +45,19 @@ def year_matrix_cells(cells: DataFrame, value: str, header_row: int = 9) -> Data
     first of the sheet.
     """
     named = promote_header(cells, header_row)
-    is_label = F.col("name").isin("mes", "month")
-    label_at = F.coalesce(F.min(F.when(is_label, F.col("col"))), F.min("col"))
-    rows = named.groupBy(*SHEET, "row").agg(
-        F.min(F.when(is_label, F.struct("col", cell_label().alias("label")))).alias("named"),
-        F.min(F.struct("col", cell_label().alias("label"))).alias("leading"), label_at.alias("label_at"),
-    )
-    months = rows.select(
-        *SHEET, "row", "label_at", month_number(F.coalesce("named.label", "leading.label")).alias("month")
-    ).where("month is not null")
+    # One row per sheet: broadcast by adaptive execution while small, else joined with skew splitting.
+    labels = named.groupBy(*SHEET).agg(F.coalesce(
+        F.max(F.when(F.col("name") == "mes", F.col("col"))), F.max(F.when(F.col("name") == "month", F.col("col"))),
+        F.min("col"),
+    ).alias("label_at"))
+    placed = named.join(labels, SHEET)
+    is_label = F.col("col") == F.col("label_at")
+    months = placed.where(is_label).select(*SHEET, "row", month_number(cell_label()).alias("month"))
     year = year_in_text(F.col("name"))
-    values = named.where(year.isNotNull()).select(*SHEET, "row", "col", year.alias("year"), cell_number().alias(value))
-    dated = values.join(months, [*SHEET, "row"]).where(F.col("col") != F.col("label_at")).select(
+    values = placed.where(~is_label & year.isNotNull()).select(
+        *SHEET, "row", year.alias("year"), cell_number().alias(value)
+    )
+    dated = values.join(months.where("month is not null"), [*SHEET, "row"]).select(
         "path", month_from_parts(F.col("year"), F.col("month")).alias("date"), value
     )
     return sum_by_month(dated, [value], ["path"])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from monthpanel.operators.baselines import baseline_forecasts, score_forecasts
 from monthpanel.operators.features import add_lags, add_rolling
 from monthpanel.operators.panel import month_spine

@@ -1,7 +1,6 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from monthpanel.operators.blocks import activity_series, aggregate_sheet, component_sheets, first_data_rows
 from monthpanel.operators.reshape import (
@@ -50,7 +49,7 @@ def test_year_matrix(spark):
 
 
 def test_year_matrix_without_a_month_header(spark):
-    body = [["Enero", 1, 2], ["Enero", 3, None], ["Suma", 9, 9]]
+    body = [["Enero", 1, 2], ["Enero", 3, None], ["Suma", 9, 9], [None, 5, 6]]
     cells = grid(spark, "f", ("s", table_cells(0, ["Periodo mensual", 2020, "Año 2021p"], body)))
     made = {r["date"]: r["v"] for r in year_matrix_cells(cells, "v", 0).collect()}
     assert made == {day("2020-01"): 4.0, day("2021-01"): 2.0}
