@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from monthpanel.llm import decontaminate, line_dedup, mixing
+from monthpanel.llm import decontaminate, line_dedup, mixing, quality_rules, url_filter
 
-ALL = {**decontaminate.QUERIES, **line_dedup.QUERIES, **mixing.QUERIES}
+ALL = {**decontaminate.QUERIES, **line_dedup.QUERIES, **mixing.QUERIES, **quality_rules.QUERIES, **url_filter.QUERIES}
