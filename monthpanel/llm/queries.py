@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-from monthpanel.llm import decontaminate, line_dedup, mixing, quality_rules, url_filter
+from monthpanel.llm import compression, decontaminate, language_id, line_dedup, mixing, quality_rules, url_filter
 
-ALL = {**decontaminate.QUERIES, **line_dedup.QUERIES, **mixing.QUERIES, **quality_rules.QUERIES, **url_filter.QUERIES}
+ALL = {
+    **compression.QUERIES, **decontaminate.QUERIES, **language_id.QUERIES, **line_dedup.QUERIES, **mixing.QUERIES, **quality_rules.QUERIES, **url_filter.QUERIES,
+}
