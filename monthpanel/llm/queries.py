@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from monthpanel.llm import compression, decontaminate, language_id, line_dedup, mixing, quality_rules, url_filter
+from monthpanel.llm import compression, decontaminate, language_id, line_dedup, mixing, near_duplicates, quality_rules, url_filter, warc
 
 ALL = {
-    **compression.QUERIES, **decontaminate.QUERIES, **language_id.QUERIES, **line_dedup.QUERIES, **mixing.QUERIES, **quality_rules.QUERIES, **url_filter.QUERIES,
+    **quality_rules.QUERIES, **warc.QUERIES, **language_id.QUERIES, **url_filter.QUERIES, **decontaminate.QUERIES,
+    **near_duplicates.QUERIES, **compression.QUERIES, **line_dedup.QUERIES, **mixing.QUERIES,
 }
