@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthpanel.llm.batches import bytes_of
+from monthpanel.llm.batches import bytes_of, word_hashes
 from monthpanel.llm.components import components
 from monthpanel.llm.shared import stored, table
 
@@ -45,19 +45,6 @@ _PLACES = _RANDOM.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.ui
 _BAND_FACTORS = _RANDOM.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _WordHashes(dict):
-    """Hashes of words, remembered for the most recent million."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A finaliser of 64-bit hashes."""
     x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -70,7 +57,7 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     words = text.lower().split()
     if len(words) < size:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64) if words else np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(word_hashes.__getitem__, words), np.uint64, len(words))
     n = len(words) - size + 1
     return np.unique(_mixed(sum(hashes[k : n + k] * _PLACES[k] for k in range(size))))
 
