@@ -5,9 +5,9 @@ benchmark are hashed and joined with those of every document, and each hit is ve
 item's words from ``AROUND`` before to ``AROUND`` after the window (cut at the item's ends), at least ``SIMILARITY``
 must stand at the same place in the document. So a passage of about 16 words is found with up to 3 words substituted.
 
-The benchmark's windows are stored, counted and joined in blocks of at most ``BLOCK`` windows; each block is broadcast, a
-bound of some 100 MB, and hits are verified where they are found, so no text is shuffled and a passage that a third
-of the documents hold costs its hits only. A benchmark beyond the bound takes more blocks, each one scan.
+The benchmark's windows are stored, counted and joined in blocks of about ``BLOCK`` windows; each block is broadcast, a bound
+of some 50 MB, and hits are verified where they are found, so no text is shuffled and a passage that a third of the
+documents hold costs its hits only. A benchmark beyond the bound takes more blocks, each one scan.
 
 Nulls and items or documents under the span (8 words) have no windows and are never hit. Rows that repeat an id are one
 document or item. Empty tables give no rows. Extra columns are ignored by ``overlaps`` and kept by ``decontaminate``.
@@ -22,47 +22,45 @@ from pyspark.sql import functions as F
 
 from monthpanel.llm.shared import stored, table, words_of
 
-#: Fixed masks: positions with 1 are compared. Each forgives two substitutions, at different distances.
-MASKS = ("11011011", "10111101")
+#: Fixed masks: positions with 1 are compared. Each is made of pairs of neighbours and forgives two substitutions.
+MASKS = ("11011011", "11110011")
 SPAN, AROUND, SIMILARITY, BLOCK = 8, 4, 0.8, 250_000
 
 
-def _windows(df: DataFrame) -> DataFrame:
-    """Adds ``h`` and ``at``, a row for each mask and window of the array ``words``."""
-    hashes = ", ".join(
-        f"transform(sequence(0, size(words) - {SPAN}), i -> xxhash64({m}, {', '.join(f'words[i + {k}]' for k, x in enumerate(mask) if x == '1')}))"
-        for m, mask in enumerate(MASKS)
-    )
-    long = df.where(F.size("words") >= SPAN)
-    return long.select("*", F.posexplode(F.expr(f"concat({hashes})")).alias("slot", "h")).withColumn(
-        "at", F.expr(f"slot % (size(words) - {SPAN - 1})")
-    ).drop("slot")
-
+def _windows(df: DataFrame, keep: str) -> DataFrame:
+    """Columns ``keep``, ``at``, ``around`` and ``h``: a row for each mask and window of the array ``words``.
 
-def seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Masked windows of the items, with the words around them."""
-    items = benchmark.select(F.col(item_col).alias("item"), words_of(F.lower(text_col)).alias("words"))
-    first = F.greatest(F.lit(0), F.col("at") - AROUND)
-    end = F.least(F.size("words"), F.col("at") + SPAN + AROUND)
-    return _windows(items).select(
-        "h", "item", (F.col("at") - first).alias("before"), F.slice("words", first + 1, end - first).alias("around")
-    ).distinct()
+    ``around`` has the hashes of the window's words and of ``AROUND`` words on either side, null beyond the ends. What is exploded is this
+    and never the words of the text, which a generator would copy into each row.
+    """
+    hashed = df.where(F.size("words") >= SPAN).withColumn("hashes", F.transform("words", lambda w: F.hash(w)))
+    pairs = hashed.select(
+        keep, (F.size("hashes") - SPAN).alias("last"),
+        F.expr("transform(sequence(0, size(hashes) - 2), i -> xxhash64(hashes[i], hashes[i + 1]))").alias("pairs"),
+        F.concat(*[F.array_repeat(F.lit(None).cast("int"), AROUND), F.col("hashes"), F.array_repeat(F.lit(None).cast("int"), AROUND)]).alias("wide"),
+    )
+    masked = []
+    for m, mask in enumerate(MASKS):
+        starts = [k for k in range(SPAN) if mask[:k].count("1") % 2 == 0 and mask[k] == "1"]
+        masked.append(f"'h{m}', xxhash64({m}, {', '.join(f'pairs[i + {k}]' for k in starts)})")
+    window = f"named_struct('at', i, 'around', slice(wide, i + 1, {SPAN + 2 * AROUND}), {', '.join(masked)})"
+    rows = pairs.select(keep, F.explode(F.expr(f"transform(sequence(0, last), i -> {window})")).alias("w"))
+    return rows.select(keep, "w.at", "w.around", F.explode(F.array(*[f"w.h{m}" for m in range(len(MASKS))])).alias("h"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
              similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """Pairs ``doc, item`` that share a passage, with the most words matched in one place and the best share of them."""
-    windows = stored(seeds(benchmark, item_col), "seeds")
-    blocks = max(1, -(-windows.count() // block))
+    items = benchmark.select(F.col(item_col).alias("item"), words_of(F.lower(text_col)).alias("words"))
+    seeds = stored(_windows(items, "item").select("h", "item", F.col("around").alias("wanted")).distinct(), "seeds")
+    blocks = max(1, -(-seeds.count() // block))
     words = docs.select(F.col(id_col).alias("doc"), words_of(F.lower(text_col)).alias("words"))
-    same = F.expr(
-        "size(filter(sequence(0, size(around) - 1), k -> at - before + k >= 0 and at - before + k < size(words)"
-        " and words[if(at - before + k >= 0 and at - before + k < size(words), at - before + k, 0)] = around[k]))"
-    )
+    windows = _windows(words, "doc").drop("at")
+    same = F.size(F.filter(F.zip_with("around", "wanted", lambda x, y: x == y), lambda x: x))
     found = [
-        _windows(words).join(F.broadcast(windows.where(F.pmod("h", F.lit(blocks)) == b)), "h")
-        .select("doc", "item", same.alias("same"), F.size("around").alias("of"))
-        .where(F.col("same") >= F.lit(similarity) * F.col("of"))
+        windows.join(F.broadcast(seeds.where(F.pmod("h", F.lit(blocks)) == b)), "h").select(
+            "doc", "item", same.alias("same"), F.size(F.array_compact("wanted")).alias("of")
+        ).where(F.col("same") >= F.lit(similarity) * F.col("of"))
         for b in range(blocks)
     ]
     return reduce(DataFrame.unionAll, found).groupBy("doc", "item").agg(
