@@ -141,15 +141,19 @@ def aggregate_sheet(cells: DataFrame, columns: dict[int, str] = AGGREGATE_COLUMN
     """Dates in column 0 and named value columns: ``path, date, series, value``.
 
     Data starts at the first row with a valid date, so every dated row is data
-    and one aggregation by row replaces a search for that first row.
+    and one aggregation by row replaces a search for that first row. Columns
+    beyond the width of a workbook's sheet are no series of it.
     """
+    widths = cells.groupBy("path").agg(F.max("col").alias("width"))
     rows = cells.where(F.col("col").isin(0, *columns)).groupBy(*SHEET, "row").agg(
         F.max(F.when(F.col("col") == 0, strict_month(F.col("text"), F.col("ts")))).alias("date"),
         *[F.max(F.when(F.col("col") == i, cell_strict_number())).alias(name) for i, name in columns.items()],
     ).where("date is not null")
     names = list(columns.values())
     months = rows.groupBy("path", "date").agg(*[first_in_order(F.col(n), F.col("row")).alias(n) for n in names])
-    return months.unpivot(["path", "date"], names, "series", "value")
+    places = F.create_map(*[F.lit(x) for i, name in columns.items() for x in (name, i)])
+    long = months.unpivot(["path", "date"], names, "series", "value")
+    return long.join(widths, "path").where(F.element_at(places, F.col("series")) <= F.col("width")).drop("width")
 
 
 def first_data_rows(cells: DataFrame) -> DataFrame:

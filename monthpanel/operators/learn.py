@@ -16,7 +16,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 
 from monthpanel.operators.baselines import compare_models, mark_holdout, union_predictions
 from monthpanel.operators.quantiles import exact_quantiles
-from monthpanel.operators.settle import settle
+from monthpanel.sources.tables import stored_at
 
 # Parameters of the two model sets.
 RIDGE_ALPHA = 1.0
@@ -126,9 +126,9 @@ def ridge_by_leave_one_out(train: DataFrame, test: DataFrame, features: list[str
     return test.withColumn("prediction", prediction), alphas[best]
 
 
-def _holdout(frame: DataFrame, target: str, test_size: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Mark the holdout once; keys too short for it take no part. All fits read what is settled here."""
-    marked = settle(mark_holdout(frame, test_size, keys).where("train_rows > 0").drop("step", "train_rows"))
+def _holdout(frame: DataFrame, target: str, test_size: int, keys: list[str], folder: str | None) -> tuple[DataFrame, DataFrame]:
+    """Mark the holdout; keys too short for it take no part."""
+    marked = stored_at(mark_holdout(frame, test_size, keys).where("train_rows > 0").drop("step", "train_rows"), folder)
     return marked.where("part = 'train'").drop("part"), marked.where("part = 'test'").drop("part")
 
 
@@ -145,12 +145,14 @@ def _check_rows(train: DataFrame, test_size: int) -> None:
 
 
 def lagged_contest(frame: DataFrame, target_name: str, features: list[str], test_size: int = 12,
-                   keys: list[str] = (), models: list[str] | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                   keys: list[str] = (), models: list[str] | None = None, seed: int = 42,
+                   folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Ridge, elastic net, random forest and boosting on a supervised frame (``__target__``).
 
-    Returns the comparison and the long predictions.
+    Returns the comparison and the long predictions. Every fit reads the frame; with a ``folder`` it is written
+    there once and read from there, else it is computed each time.
     """
-    train, test = _holdout(frame, "__target__", test_size, keys)
+    train, test = _holdout(frame, "__target__", test_size, keys, folder)
     _check_rows(train, test_size)
     linear = (_assembled(standardize(train, train, features), features),
               _assembled(standardize(test, train, features), features))
@@ -172,16 +174,17 @@ def lagged_contest(frame: DataFrame, target_name: str, features: list[str], test
 
 
 def sparse_contest(frame: DataFrame, features: list[str], target: str, test_size: int = 12,
-                   keys: list[str] = (), models: list[str] | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                   keys: list[str] = (), models: list[str] | None = None, seed: int = 42,
+                   folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Second model set with median imputation: ridge with chosen alpha, forest, boosting.
 
-    Returns the comparison and wide predictions, ``pred_<model>`` per column.
+    Returns the comparison and wide predictions, ``pred_<model>`` per column; ``folder`` as in ``lagged_contest``.
     """
     if not features:
         raise ValueError("feature_cols cannot be empty")
     rows = frame.select(*keys, "date", F.col(target).cast("double").alias(target),
                         *[F.col(c).cast("double").alias(c) for c in features if c != target])
-    train, test = _holdout(rows, target, test_size, keys)
+    train, test = _holdout(rows, target, test_size, keys, folder)
     _check_rows(train, test_size)
     medians = train_medians(train, features)
     used = [c for c in features if medians[c] is not None]

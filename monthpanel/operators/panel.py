@@ -18,7 +18,7 @@ from monthpanel.functions.numbers import to_number
 from monthpanel.operators.clean import truncate_to_month
 
 def month_mean(df: DataFrame, keys: list[str] = (), date_col: str = "date") -> DataFrame:
-    """One row per key and month: the mean of each column's numeric values.
+    """One row per key and month: the mean of each column's numeric values. Rows without a date drop out.
 
     Text columns end up without values, as nothing in them is a number.
     """
@@ -27,7 +27,7 @@ def month_mean(df: DataFrame, keys: list[str] = (), date_col: str = "date") -> D
     values = [c for c in df.columns if c != date_col and c not in keys]
     if not values:
         raise ValueError("No numeric series columns were found")
-    return df.groupBy(*keys, month_start(F.col(date_col)).alias(date_col)).agg(
+    return df.where(F.col(date_col).isNotNull()).groupBy(*keys, month_start(F.col(date_col)).alias(date_col)).agg(
         *[F.avg(to_number(F.col(c))).alias(c) for c in values]
     )
 
@@ -45,7 +45,7 @@ def first_per_month(df: DataFrame, values: list[str], order: str, keys: list[str
 
 
 def merge_monthly(frames: list[DataFrame | None], keys: list[str] = (), unique_months: bool = True,
-                  skip_empty: bool = False) -> DataFrame:
+                  skip_empty: bool = False, on_collision: str = "suffix") -> DataFrame:
     """Full outer merge of monthly frames on keys and month.
 
     Frames that hold one row per key and month are stacked and folded by one
@@ -53,19 +53,23 @@ def merge_monthly(frames: list[DataFrame | None], keys: list[str] = (), unique_m
     fails the query. With ``unique_months=False`` repeated months multiply, as an
     outer join does.
     ``skip_empty`` leaves out the columns of frames without rows (one small job each).
+    ``on_collision`` says what happens to a value column that several frames have: ``suffix`` (``_x`` for the
+    first, ``_y`` for the second, none for the third, then ``_4``), ``coalesce`` (first non-null in order) or ``error``.
     """
+    if on_collision not in ("suffix", "coalesce", "error"):
+        raise ValueError(f"Unknown collision rule: {on_collision!r}")
     used = [f for f in frames if f is not None and not (skip_empty and f.isEmpty())]
     if any("date" not in f.columns for f in used):
         raise ValueError("All frames must contain a 'date' column")
     if not used:
         raise ValueError("No non-empty frames were provided")
     on = [*keys, "date"]
+    used, merged = _apart(used, on, on_collision)
     columns = [c for f in used for c in f.columns if c not in on]
-    if len(set(columns)) < len(columns):
-        raise ValueError("Frames share value columns; rename them before merging")
     months = [truncate_to_month(f) for f in used]
     if not unique_months:
-        return reduce(lambda left, right: left.join(right, on, "full_outer"), months)
+        joined = reduce(lambda left, right: left.join(right, on, "full_outer"), months)
+        return joined.select(*on, *[F.coalesce(*parts).alias(c) for c, parts in merged.items()])
     marked = [f.withColumn("__frame", F.lit(i)) for i, f in enumerate(months)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     folded = stacked.groupBy(*on).agg(
@@ -73,9 +77,33 @@ def merge_monthly(frames: list[DataFrame | None], keys: list[str] = (), unique_m
         (F.count("*") == F.size(F.collect_set("__frame"))).alias("__unique"),
     )
     repeated = F.raise_error(F.lit("a frame repeats a month; pass unique_months=False to multiply its rows"))
-    return folded.select(*on, *[
+    checked = folded.select(*on, *[
         F.when(F.col("__unique"), F.col(c)).otherwise(repeated.cast(folded.schema[c].dataType)).alias(c) for c in columns
     ])
+    return checked.select(*on, *[F.coalesce(*parts).alias(c) for c, parts in merged.items()])
+
+
+def _apart(frames: list[DataFrame], on: list[str], on_collision: str) -> tuple[list[DataFrame], dict[str, list[str]]]:
+    """Frames with value columns of their own names, and from which of them each merged column comes."""
+    owners: dict[str, list[int]] = {}
+    for i, f in enumerate(frames):
+        for c in f.columns:
+            if c not in on:
+                owners.setdefault(c, []).append(i)
+    shared = [c for c, at in owners.items() if len(at) > 1]
+    if shared and on_collision == "error":
+        raise ValueError(f"Several frames have the value columns {shared}")
+    names = {}
+    for c, at in owners.items():
+        for place, i in enumerate(at, 1):
+            tail = {1: "_x", 2: "_y", 3: ""}.get(place, f"_{place}") if on_collision == "suffix" else f"__{place}"
+            names[i, c] = c + tail if len(at) > 1 else c
+    if len(set(names.values())) < len(names):
+        raise ValueError("Merged columns would share a name; rename them before merging")
+    renamed = [f.withColumnsRenamed({c: names[i, c] for c in f.columns if c not in on}) for i, f in enumerate(frames)]
+    if on_collision == "coalesce":
+        return renamed, {c: [names[i, c] for i in at] for c, at in owners.items()}
+    return renamed, {n: [n] for n in names.values()}
 
 
 def to_long(df: DataFrame, values: list[str], keys: list[str] = ()) -> DataFrame:
@@ -110,20 +138,21 @@ def month_spine(df: DataFrame, start: str | None = None, end: str | None = None,
     """Every month from start to end for every key, missing months with empty values.
 
     Rows outside the bounds vanish; a key with only such rows still gets its
-    empty months. Each row covers the months up to the next one, so the spine
-    needs one window by key and no join. Open bounds are those of the whole
-    frame. A repeated month fails the query.
+    empty months; rows without a date don't exist. Each row covers the months up
+    to the next one, so the spine needs one window by key and no join. Open
+    bounds are those of the whole frame, which is read once more for them. A
+    repeated month fails the query.
     """
     if start is not None and end is not None:
         month_bounds(start, end)
     values = [c for c in df.columns if c != "date" and c not in keys]
-    monthly = truncate_to_month(df)
+    monthly = truncate_to_month(df.where("date is not null"))
     first, last = _bound(monthly, start, F.min), _bound(monthly, end, F.max)
     by_key = Window.partitionBy(*keys).orderBy("date")
     repeated = F.raise_error(F.lit("a month repeats; aggregate to months first")).cast("date")
     covered = monthly.select(
         *keys, *values, F.col("date").alias("__at"), first.alias("__first"), last.alias("__last"),
-        F.lag("date").over(by_key).isNull().alias("__head"),
+        (F.row_number().over(by_key) == 1).alias("__head"),
         F.lead("date").over(by_key).alias("__next"),
     ).select(
         *keys, *values, "__at",

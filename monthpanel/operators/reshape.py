@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from monthpanel.fixed import CONSTRUCTION_COLUMNS, MATERIAL_KEYWORDS, YEAR_PATTERN
 from monthpanel.functions.months import month_from_parts, month_number
-from monthpanel.functions.numbers import parse_number, year_in_text
+from monthpanel.functions.numbers import year_in_text
 from monthpanel.functions.text import contains_any, slug, slug_name
 from monthpanel.operators.clean import first_existing_column, number_column, slug_columns, sum_by_month
 from monthpanel.operators.panel import to_wide
-from monthpanel.sources.cells import SHEET, cell_label, cell_number, cell_year, promote_header
+from monthpanel.sources.cells import MAX_COLUMNS, SHEET, cell_label, cell_number, cell_year, header_names, promote_header
 
 
 def year_matrix(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
@@ -42,7 +42,9 @@ def year_matrix_cells(cells: DataFrame, value: str, header_row: int = 9) -> Data
     """The year matrix read straight from cells, per workbook: ``path, date, <value>``.
 
     The column of month labels is the one headed ``mes`` or ``month``, else the
-    first of the sheet.
+    first of the sheet. A month that has its label and its year but a blank cell
+    is there without a value. A sheet without year columns gives no rows; see
+    ``require_rows``.
     """
     named = promote_header(cells, header_row)
     # One row per sheet: broadcast by adaptive execution while small, else joined with skew splitting.
@@ -53,11 +55,12 @@ def year_matrix_cells(cells: DataFrame, value: str, header_row: int = 9) -> Data
     placed = named.join(labels, SHEET)
     is_label = F.col("col") == F.col("label_at")
     months = placed.where(is_label).select(*SHEET, "row", month_number(cell_label()).alias("month"))
-    year = year_in_text(F.col("name"))
-    values = placed.where(~is_label & year.isNotNull()).select(
-        *SHEET, "row", year.alias("year"), cell_number().alias(value)
-    )
-    dated = values.join(months.where("month is not null"), [*SHEET, "row"]).select(
+    values = placed.where(~is_label).select(*SHEET, "row", "col", cell_number().alias(value))
+    headed = header_names(cells, header_row).join(labels, SHEET).where("col <> label_at")
+    years = headed.select(*SHEET, "col", year_in_text(F.col("name")).alias("year")).where("year is not null")
+    # Labelled rows by year columns: a sheet has a dozen of the one and some dozens of the other.
+    grid = months.where("month is not null").join(years, SHEET)
+    dated = grid.join(values, [*SHEET, "row", "col"], "left").select(
         "path", month_from_parts(F.col("year"), F.col("month")).alias("date"), value
     )
     return sum_by_month(dated, [value], ["path"])
@@ -141,16 +144,15 @@ def material_index(long: DataFrame, series: list[str] | None = None, prefix: str
     """Wide material indices, ``<prefix>_<series>_index``, with the mean of the series as ``total``.
 
     The mean weighs each series once, also where a series repeats in a month.
+    Over ``MAX_COLUMNS`` series must be given.
     """
     if series is None:
-        series = [r["series"] for r in long.select("series").distinct().orderBy("series").collect()]
+        found = long.select("series").distinct().limit(MAX_COLUMNS + 1).collect()
+        if len(found) > MAX_COLUMNS:
+            raise ValueError(f"There are over {MAX_COLUMNS} series; choose some by `series`")
+        series = sorted(r["series"] for r in found)
     wide = to_wide(long.where(F.col("series").isin(series)), series, ["path"])
     means = long.groupBy("path", "date", "series").agg(F.avg("value").alias("value"))
     totals = means.groupBy("path", "date").agg(F.avg("value").alias(total))
     named = wide.select("path", "date", *[F.col(f"`{s}`").alias(f"{prefix}_{s}_index") for s in series])
     return named.join(totals, ["path", "date"])
-
-
-def parse_text_values(long: DataFrame, value: str = "value") -> DataFrame:
-    """Long observations with formatted text values as numbers, blanks dropped."""
-    return long.withColumn(value, parse_number(F.col(value))).where(F.col(value).isNotNull())

@@ -33,7 +33,11 @@ def available_targets(df: DataFrame, keys: list[str] = (), min_observations: int
     columns = [entry[0] for entry in TARGET_CATALOG if entry[0] in df.columns]
     catalog = target_catalog(df.sparkSession)
     if not columns:
-        return catalog.limit(0)
+        # The schema of a frame with targets, without rows.
+        ids = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys]
+        return catalog.limit(0).select(
+            *ids, "column", "label", "description", "unit", "priority", F.lit(None).cast("long").alias("observations")
+        )
     coverage = column_coverage(df, columns, keys).where(F.col("observations") >= min_observations)
     return coverage.join(F.broadcast(catalog), "column").select(
         *keys, "column", "label", "description", "unit", "priority", "observations"
@@ -48,8 +52,9 @@ def label_columns(coverage: DataFrame) -> DataFrame:
     ).drop("__label")
 
 
-def default_target(df: DataFrame) -> str:
-    """The available target of highest priority, else the first numeric column (one row of counts read)."""
+def default_target(df: DataFrame, keys: list[str] = ()) -> str:
+    """The available target of highest priority, else the first numeric column that is no key (one row of counts read)."""
+    df = df.drop(*keys)
     known = {entry[0]: entry[4] for entry in TARGET_CATALOG if entry[0] in df.columns}
     numbers = df.select(*[to_number(F.col(c)).alias(c) for c in known])
     counts = present_counts(numbers, list(known))
@@ -58,18 +63,17 @@ def default_target(df: DataFrame) -> str:
         return min(good, key=known.get)
     numeric = numeric_series_columns(df)
     if not numeric:
-        raise ValueError("No numeric target candidates were found")
+        raise ValueError("The frame has no numeric column to forecast")
     return numeric[0]
 
 
-def validate_target(df: DataFrame, target: str, min_observations: int = 2) -> None:
+def validate_target(df: DataFrame, target: str, min_observations: int = 2, keys: list[str] = ()) -> None:
     """Raise when a target is absent or too sparse."""
     if target not in df.columns:
-        available = ", ".join(numeric_series_columns(df, min_observations))
-        raise ValueError(f"Target column {target!r} is missing. Available numeric columns: {available}")
+        available = ", ".join(numeric_series_columns(df.drop(*keys), min_observations))
+        raise ValueError(f"Target {target!r} is missing from the frame, which has the numeric columns: {available}")
     observed = present_counts(df.select(to_number(F.col(target)).alias(target)), [target])[target]
     if observed < min_observations:
         raise ValueError(
-            f"Target column {target!r} has only {observed} non-null observations; "
-            f"at least {min_observations} are required."
+            f"Target {target!r} has only {observed} observations and needs {min_observations}"
         )

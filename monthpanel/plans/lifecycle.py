@@ -24,12 +24,14 @@ ACTIVITY_SERIES = [
 ]
 
 
-def _activity(cells: DataFrame, sheet: str | None, header_row: int | None) -> DataFrame:
+def _activity(cells: DataFrame, sheet: str | None, header_row: int | None, on_collision: str = "suffix") -> DataFrame:
     """All sheets take part; ``sheet`` is the name preferred for the older layout."""
     given = {k: v for k, v in (("preferred", sheet), ("header_row", header_row)) if v is not None}
-    long = activity_series(cells, on_collision="coalesce", **given)
-    wide = long.groupBy("path", "date").pivot("series", ACTIVITY_SERIES)
-    return wide.max("value")
+    long = activity_series(cells, on_collision=on_collision, **given)
+    # The names are fixed, with a suffix for each of the sheets that may share one.
+    found = {r["series"] for r in long.select("series").distinct().collect()}
+    names = [s + tail for s in ACTIVITY_SERIES for tail in ("", "_x", "_y") if s + tail in found]
+    return long.groupBy("path", "date").pivot("series", names or ACTIVITY_SERIES).max("value")
 
 
 def _remittances(cells: DataFrame, sheet: str | None, header_row: int | None) -> DataFrame:
@@ -61,14 +63,28 @@ PARSERS: dict[str, Callable[[DataFrame, str | None, int | None], DataFrame]] = {
 }
 
 
+# Kinds that must give an observation; tables of the others may be empty and are then left out.
+REQUIRED = ("activity_index", "remittances", "material_index")
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """The frame, or an error if it has no row (one small job)."""
+    if df.isEmpty():
+        raise ValueError(f"{what} gave no monthly observation; check sheet, header row and layout")
+    return df
+
+
 def build_dataset(sources: list[tuple], keys: list[str] = (), target: str | None = PROXY_TARGET,
                   min_observed: int = 1, interpolate: bool = False, drop_missing_target: bool = False,
-                  parsers: dict[str, Callable] = PARSERS) -> DataFrame:
+                  parsers: dict[str, Callable] = PARSERS, on_collision: str = "suffix") -> DataFrame:
     """Parse every source, merge by month, add the composite target.
 
     A source is ``(kind, cells[, sheet[, header_row]])``. With ``keys=["path"]``
     workbooks of one path are merged and each path is a series of its own; with
     ``keys=[]`` each source is one workbook. ``target=None`` skips the composite.
+    ``on_collision`` says what happens to a series that several sheets or sources
+    give. A source of a ``REQUIRED`` kind without observations is an error, other
+    empty sources are left out, and so is having none left.
     """
     if not sources:
         raise ValueError("No sources provided")
@@ -79,9 +95,12 @@ def build_dataset(sources: list[tuple], keys: list[str] = (), target: str | None
         if kind not in parsers:
             raise ValueError(f"Unknown parser {kind!r}. Valid parsers: {', '.join(sorted(parsers))}")
         sheet, header_row = (*options, None, None)[:2]
-        frame = parsers[kind](cells, sheet, header_row)
+        rule = {"on_collision": on_collision} if parsers[kind] is _activity else {}
+        frame = parsers[kind](cells, sheet, header_row, **rule)
+        if kind in REQUIRED:
+            require_rows(frame, f"Source {kind!r}")
         frames.append(frame if "path" in keys else frame.drop("path"))
-    merged = merge_monthly(frames, keys)
+    merged = merge_monthly(frames, keys, skip_empty=True, on_collision=on_collision)
     if target is None:
         return merged
     modeled = composite_target(merged, target=target, min_observed=min_observed, interpolate=interpolate, keys=keys)
@@ -94,15 +113,19 @@ def build_panel(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
 
 
 def forecast_contest(panel: DataFrame, target: str | None = None, test_size: int = 12, keys: list[str] = (),
-                     exogenous: list[str] | None = None, models: list[str] | None = None) -> dict[str, DataFrame]:
-    """Baselines and lagged regressions on one target, their comparison and lag correlations."""
-    target = target or default_target(panel)
-    validate_target(panel, target)
+                     exogenous: list[str] | None = None, models: list[str] | None = None,
+                     folder: str | None = None) -> dict[str, DataFrame]:
+    """Baselines and lagged regressions on one target, their comparison and lag correlations.
+
+    With a ``folder`` the supervised frame is stored there for the fits.
+    """
+    target = target or default_target(panel, keys)
+    validate_target(panel, target, keys=keys)
     forecasts = baseline_forecasts(panel, target, test_size, keys)
     baselines = compare_models(forecasts, keys)
     frame = supervised_strict(panel, target, exogenous=exogenous, keys=keys)
     features = [c for c in frame.columns if c not in ("date", "__target__", *keys)]
-    comparison, predictions = lagged_contest(frame, target, features, test_size, keys, models)
+    comparison, predictions = lagged_contest(frame, target, features, test_size, keys, models, folder=folder)
     return {
         "baselines": baselines,
         "comparison": comparison,

@@ -1,47 +1,112 @@
-"""Registered queries: fitted models on nation revenue, pooled over nations. No SQL equals a fit."""
+"""Registered queries: fitted models on nation revenue, pooled over nations.
+
+Linear fits have few features, so that SQL can state them in closed form; the trees give what SQL can state about them: which
+months they predict, and for the forest that a mean of train labels lies between them.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from monthpanel.operators.baselines import mark_holdout
 from monthpanel.operators.features import supervised_sparse, supervised_strict
-from monthpanel.operators.learn import lagged_contest, sparse_contest
-from monthpanel.plans.views import nation_month
+from monthpanel.operators.learn import ELASTIC_ALPHA, ELASTIC_L1_RATIO, RIDGE_ALPHA, RIDGE_ALPHAS, lagged_contest, sparse_contest
+from monthpanel.plans.views import NATION_MONTH, nation_month
 
 KEYS = ["nation"]
+LAGS = ["revenue_lag_1", "revenue_lag_12"]
 
 
-def _strict(spark, sf_dir, models, part):
+def _strict(spark, sf_dir, model, features=None):
     frame = supervised_strict(nation_month(spark, sf_dir), "revenue", keys=KEYS)
-    features = [c for c in frame.columns if c not in ("nation", "date", "__target__")]
-    return lagged_contest(frame, "revenue", features, 12, KEYS, models)[part]
+    features = features or [c for c in frame.columns if c not in ("nation", "date", "__target__")]
+    return frame, lagged_contest(frame, "revenue", features, 12, KEYS, [model])[1]
+
 
+def _sparse(spark, sf_dir, models, features=None):
+    frame, found = supervised_sparse(nation_month(spark, sf_dir), "revenue", ["orders"], keys=KEYS)
+    return sparse_contest(frame, features or found, "revenue", 12, KEYS, models)[1]
 
-def _sparse(spark, sf_dir, models, part):
-    frame, features = supervised_sparse(nation_month(spark, sf_dir), "revenue", ["orders"], keys=KEYS)
-    return sparse_contest(frame, features, "revenue", 12, KEYS, models)[part]
+
+def _whole(predictions):
+    return predictions.select("nation", "date", "actual", F.round("prediction", 0).alias("prediction"))
 
 
 def ml_ridge(spark, sf_dir):
-    return _strict(spark, sf_dir, ["ridge_lagged"], 1)
+    return _whole(_strict(spark, sf_dir, "ridge_lagged", LAGS)[1])
 
 
 def ml_elasticnet(spark, sf_dir):
-    return _strict(spark, sf_dir, ["elasticnet_lagged"], 1)
+    return _whole(_strict(spark, sf_dir, "elasticnet_lagged", LAGS[:1])[1])
 
 
 def ml_ridge_cv(spark, sf_dir):
-    return _sparse(spark, sf_dir, ["ridge"], 1)
+    made = _sparse(spark, sf_dir, ["ridge"], LAGS)
+    return made.select("nation", "date", "revenue", F.round("pred_ridge", 0).alias("pred_ridge"))
 
 
 def ml_forest(spark, sf_dir):
-    return _strict(spark, sf_dir, ["random_forest_lagged"], 0)
+    frame, predictions = _strict(spark, sf_dir, "random_forest_lagged")
+    train = mark_holdout(frame, 12, KEYS).where("part = 'train' AND train_rows > 0")
+    low, high = (train.select(f("__target__")).scalar() for f in (F.min, F.max))
+    return predictions.select("nation", "date", "actual", F.col("prediction").between(low, high).alias("between_labels"))
 
 
 def ml_gbt(spark, sf_dir):
-    return _strict(spark, sf_dir, ["gradient_boosting_lagged"], 0)
+    predictions = _strict(spark, sf_dir, "gradient_boosting_lagged")[1]
+    return predictions.select("nation", "date", "actual", F.col("prediction").isNotNull().alias("predicted"))
 
 
 def ml_holdout(spark, sf_dir):
-    return _sparse(spark, sf_dir, None, 1)
-
-
-QUERIES = {f.__name__: (f, None) for f in (ml_ridge, ml_elasticnet, ml_ridge_cv, ml_forest, ml_gbt, ml_holdout)}
+    made = _sparse(spark, sf_dir, None)
+    flags = [F.col(c).isNotNull().alias(c) for c in ("pred_ridge", "pred_random_forest", "pred_gradient_boosting")]
+    return made.select("nation", "date", "revenue", *flags)
+
+
+# Rows after the twelfth of a nation have all lags and windows; its last twelve are the test.
+FRAME = f"""{NATION_MONTH},
+lagged AS (
+  SELECT nation, date, revenue AS y, lag(revenue, 1) OVER w AS x1, lag(revenue, 12) OVER w AS x2,
+         row_number() OVER w AS rn, count(*) OVER (PARTITION BY nation) AS n
+  FROM nation_month WINDOW w AS (PARTITION BY nation ORDER BY date)),
+frame AS (SELECT *, rn <= n - 12 AS train FROM lagged WHERE rn > 12 AND n > 24)"""
+SCALED = f"""{FRAME},
+facts AS (
+  SELECT count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2
+  FROM frame WHERE train),
+z AS (
+  SELECT nation, date, train, y, (x1 - m1) / s1 AS z1, (x2 - m2) / s2 AS z2, y - my AS c, my, f.n AS rows
+  FROM frame, facts f),
+sums AS (
+  SELECT sum(z1 * z1) AS a, sum(z1 * z2) AS b, sum(z2 * z2) AS d, sum(z1 * c) AS p, sum(z2 * c) AS q FROM z WHERE train)"""
+TEST = "SELECT nation, date, y AS {y}, {flags} FROM frame WHERE NOT train"
+
+SQL = {
+    "ml_ridge": f"""WITH {SCALED},
+solved AS (
+  SELECT ((d + {RIDGE_ALPHA}) * p - b * q) / ((a + {RIDGE_ALPHA}) * (d + {RIDGE_ALPHA}) - b * b) AS w1,
+         ((a + {RIDGE_ALPHA}) * q - b * p) / ((a + {RIDGE_ALPHA}) * (d + {RIDGE_ALPHA}) - b * b) AS w2 FROM sums)
+SELECT nation, date, y AS actual, round(my + w1 * z1 + w2 * z2, 0) AS prediction FROM z, solved WHERE NOT train""",
+    "ml_elasticnet": f"""WITH {SCALED},
+solved AS (
+  SELECT sign(p) * greatest(abs(p) / rows - {ELASTIC_ALPHA * ELASTIC_L1_RATIO}, 0) / (1 + {ELASTIC_ALPHA * (1 - ELASTIC_L1_RATIO)}) AS w
+  FROM sums, (SELECT max(rows) AS rows FROM z))
+SELECT nation, date, y AS actual, round(my + w * z1, 0) AS prediction FROM z, solved WHERE NOT train""",
+    "ml_ridge_cv": f"""WITH {SCALED},
+alphas AS (SELECT unnest([{', '.join(repr(a) for a in RIDGE_ALPHAS)}]) AS t),
+solved AS (
+  SELECT t, (a + t) * (d + t) - b * b AS det, a + t AS ta, d + t AS td, b,
+         ((d + t) * p - b * q) / ((a + t) * (d + t) - b * b) AS w1, ((a + t) * q - b * p) / ((a + t) * (d + t) - b * b) AS w2
+  FROM sums, alphas),
+errors AS (
+  SELECT t, any_value(w1) AS w1, any_value(w2) AS w2,
+         avg(power((c - w1 * z1 - w2 * z2) / (1 - 1.0 / rows - (td * z1 * z1 - 2 * b * z1 * z2 + ta * z2 * z2) / det), 2)) AS loss
+  FROM z, solved WHERE train GROUP BY t),
+best AS (SELECT w1, w2 FROM errors ORDER BY loss, t LIMIT 1)
+SELECT nation, date, y AS revenue, round(my + w1 * z1 + w2 * z2, 0) AS pred_ridge FROM z, best WHERE NOT train""",
+    "ml_forest": f"WITH {FRAME} {TEST.format(y='actual', flags='true AS between_labels')}",
+    "ml_gbt": f"WITH {FRAME} {TEST.format(y='actual', flags='true AS predicted')}",
+    "ml_holdout": f"""WITH {FRAME} {TEST.format(y='revenue', flags='true AS pred_ridge, true AS pred_random_forest, true AS pred_gradient_boosting')}""",
+}
+
+QUERIES = {f.__name__: (f, SQL[f.__name__]) for f in (ml_ridge, ml_elasticnet, ml_ridge_cv, ml_forest, ml_gbt, ml_holdout)}

@@ -12,7 +12,6 @@ from monthpanel.operators.panel import to_wide
 from monthpanel.operators.reshape import (
     construction_records, material_index, two_row_header, year_matrix, year_matrix_cells,
 )
-from monthpanel.operators.settle import settle
 from monthpanel.plans.queries_clean import named_month
 from monthpanel.plans.sheets import (
     FLAGGED_MONTHS, activity_books, aggregate_book, flagged_months, listing_book, two_row_book, year_matrix_book,
@@ -30,7 +29,7 @@ def year_matrix_query(spark, sf_dir):
     labelled = months.select("supplier", "quantity", F.year("date").cast("string").alias("year"), F.explode(
         F.array(named_month(F.col("date")), F.lit("Total"))).alias("Mes"))
     matrix = labelled.groupBy("supplier", "Mes").pivot("year", years).agg(F.sum("quantity"))
-    return year_matrix(matrix, "quantity", ["supplier"]).where("quantity is not null")
+    return year_matrix(matrix, "quantity", ["supplier"])
 
 
 def year_matrix_sheet(spark, sf_dir):
@@ -67,7 +66,7 @@ def material_index_query(spark, sf_dir):
 
 def header_promote(spark, sf_dir):
     book = listing_book(supplier_month(spark, sf_dir))
-    return table_from_cells(book, 2, names=["ano", "mes", "cantidad", "valor_usd"])
+    return table_from_cells(book, 2, names=["ano", "mes", "cantidad", "valor_usd", "valor_usd_1"])
 
 
 def sheet_first_data_row(spark, sf_dir):
@@ -81,14 +80,23 @@ def sheet_detect(spark, sf_dir):
 
 
 def block_discovery(spark, sf_dir):
-    # Five readers share the cells; a cell table is stored, not derived, in real use.
-    return activity_series(settle(activity_books(flagged_months(spark, sf_dir))))
+    return activity_series(activity_books(flagged_months(spark, sf_dir)))
 
 
 QUERIES = {
-    "year_matrix_unpivot": (year_matrix_query, f"WITH {SUPPLIER_MONTH} SELECT supplier, date, quantity FROM supplier_month"),
+    "year_matrix_unpivot": (year_matrix_query, f"""
+WITH {SUPPLIER_MONTH},
+grid AS (
+  SELECT supplier, make_date(y::BIGINT, m, 1) AS date
+  FROM (SELECT DISTINCT supplier, month(date) AS m FROM supplier_month), range(1995, 2003) AS t(y))
+SELECT supplier, date, quantity FROM grid LEFT JOIN supplier_month USING (supplier, date)"""),
     "year_matrix_sheet": (year_matrix_sheet, f"""
-WITH {SUPPLIER_MONTH} SELECT CAST(supplier AS VARCHAR) AS path, date, quantity FROM supplier_month"""),
+WITH {SUPPLIER_MONTH},
+grid AS (
+  SELECT supplier, make_date(y, m, 1) AS date
+  FROM (SELECT DISTINCT supplier, month(date) AS m FROM supplier_month)
+  JOIN (SELECT DISTINCT supplier, year(date) AS y FROM supplier_month) USING (supplier))
+SELECT CAST(supplier AS VARCHAR) AS path, date, quantity FROM grid LEFT JOIN supplier_month USING (supplier, date)"""),
     "pivot_mean": (pivot_mean, """
 SELECT l_suppkey AS supplier, CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
        round(avg(l_quantity) FILTER (WHERE l_returnflag = 'A'), 8) AS "A",
@@ -119,7 +127,7 @@ SELECT CAST(supplier AS VARCHAR) AS path, 'Hoja1' AS sheet,
        CAST((year(date) - 1995) * 12 + month(date) + 2 AS INT) AS row, CAST(year(date) AS VARCHAR) AS ano,
        ['Enero', 'Febrero', 'Marzo', 'Abril', 'Mayo', 'Junio', 'Julio', 'Agosto', 'Septiembre', 'Octubre', 'Noviembre',
         'Diciembre'][month(date)] AS mes, CAST(CAST(quantity AS BIGINT) AS VARCHAR) AS cantidad,
-       format('{{:,.2f}}', revenue) AS valor_usd
+       format('{{:,.2f}}', revenue) AS valor_usd, CAST(lines AS VARCHAR) AS valor_usd_1
 FROM supplier_month"""),
     "sheet_first_data_row": (sheet_first_data_row, f"""
 WITH {SUPPLIER_MONTH},

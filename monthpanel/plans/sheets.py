@@ -36,12 +36,12 @@ def workbooks(rows: DataFrame, path: str, fixed: list[str], own: list[str], shar
     folded where several rows meet in them. Cells without content are blank."""
     named = rows.withColumn("path", F.expr(f"cast({path} AS string)"))
 
-    def spread(frame: DataFrame, cells: list[str]) -> DataFrame:
-        return frame.select("path", F.expr(f"inline(array({', '.join(cells)}))"))
-
-    book = spread(named.select("path").distinct(), fixed).unionByName(spread(named, own)).select(*COLUMNS)
+    # The first row of a workbook also gives the cells that come once.
+    first = F.row_number().over(Window.partitionBy("path").orderBy("date")) == 1
+    cells = f"if(first, array({', '.join([*fixed, *own])}), array({', '.join(own)}))"
+    book = named.withColumn("first", first).select("path", F.expr(f"inline({cells})")).select(*COLUMNS)
     if shared:
-        folded = spread(named, shared).groupBy(*COLUMNS[:5]).agg(
+        folded = named.select("path", F.expr(f"inline(array({', '.join(shared)}))")).groupBy(*COLUMNS[:5]).agg(
             F.max("text").alias("text"), F.coalesce(F.sum("amount"), F.max("num")).alias("num"), F.max("ts").alias("ts")
         )
         book = book.unionByName(folded)
@@ -96,9 +96,10 @@ def listing_book(months: DataFrame) -> DataFrame:
     at = f"{MONTH_INDEX} + 3"
     return workbooks(
         months, "supplier",
-        fixed=[word(0, 0, "Informe"), word(2, 0, "Año"), word(2, 1, "Mes"), word(2, 2, "Cantidad"), word(2, 3, "Valor (USD)")],
+        fixed=[word(0, 0, "Informe"), word(2, 0, "Año"), word(2, 1, "Mes"), word(2, 2, "Cantidad"), word(2, 3, "Valor (USD)"),
+               word(2, 4, "Valor USD")],
         own=[cell(at, 0, num="year(date)"), cell(at, 1, MONTH_NAME), cell(at, 2, num="quantity"),
-             cell(at, 3, "format_number(revenue, 2)")],
+             cell(at, 3, "format_number(revenue, 2)"), cell(at, 4, num="lines")],
     )
 
 

@@ -11,7 +11,7 @@ count from 0. Exactly one of ``text``, ``num`` and ``ts`` is set.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthpanel.functions.numbers import parse_number, to_number, year_in_text, year_of_number
@@ -21,6 +21,8 @@ CELL_SCHEMA = (
     "path string, sheet string, sheet_no int, row int, col int, text string, num double, ts timestamp"
 )
 SHEET = ["path", "sheet"]
+# Wide tables beyond so many columns must be asked for by name.
+MAX_COLUMNS = 2000
 
 
 def cell_label() -> Column:
@@ -54,10 +56,13 @@ def sheet_cells(cells: DataFrame, sheet: str | int | None) -> DataFrame:
 
 
 def header_names(cells: DataFrame, header_row: int) -> DataFrame:
-    """Column names of a header row: ``path, sheet, col, name``."""
-    return cells.where(F.col("row") == header_row).select(
-        *SHEET, "col", slug(cell_label()).alias("name")
-    )
+    """Column names of a header row: ``path, sheet, col, name``, repeats numbered ``_1``, ``_2`` from left to right."""
+    names = cells.where(F.col("row") == header_row).select(*SHEET, "col", slug(cell_label()).alias("name"))
+    # A header has one row per sheet and column. The second round numbers names that the first one made again.
+    for _ in range(2):
+        nth = F.row_number().over(Window.partitionBy(*SHEET, "name").orderBy("col")) - 1
+        names = names.withColumn("name", F.when(nth == 0, F.col("name")).otherwise(F.concat("name", F.lit("_"), nth.cast("string"))))
+    return names
 
 
 def promote_header(cells: DataFrame, header_row: int) -> DataFrame:
@@ -80,12 +85,15 @@ def table_from_cells(cells: DataFrame, header_row: int = 0, sheet: str | int | N
     """Wide table below a header row: ``path, sheet, row`` and one text column per name.
 
     Without ``names`` the header row is read once to learn them (one name per
-    sheet column). Rows without any cell do not exist; of columns that share a
-    name the last one counts.
+    sheet column); workbooks whose headers differ in more than ``MAX_COLUMNS``
+    names need them given. Rows without any cell do not exist; columns that
+    repeat a name are numbered.
     """
     chosen = sheet_cells(cells, sheet)
     if names is None:
-        found = header_names(chosen, header_row).select("name").distinct().orderBy("name")
-        names = [r["name"] for r in found.collect()]
+        found = header_names(chosen, header_row).select("name").distinct().limit(MAX_COLUMNS + 1).collect()
+        if len(found) > MAX_COLUMNS:
+            raise ValueError(f"The header rows hold over {MAX_COLUMNS} names; choose some by `names`")
+        names = sorted(r["name"] for r in found)
     rows = promote_header(chosen, header_row).groupBy(*SHEET, "row")
     return rows.pivot("name", names).agg(F.max_by(cell_label(), F.col("col")))

@@ -43,6 +43,14 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", by: list[str]
     writer.format(fmt).save(path)
 
 
+def stored_at(df: DataFrame, folder: str | None) -> DataFrame:
+    """The frame, written to a folder of the caller and read from there if one is given."""
+    if folder is None:
+        return df
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def write_predictions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Prediction sink, one folder per model."""
     write_dataset(df, path, fmt, by=["model"])
