@@ -1,19 +1,19 @@
 """Values that results depend on, stated as plain data."""
 
-# Month spellings (Spanish and English, long and short).
+# Month spellings (Spanish and English, long and short) and numbers.
 MONTH_SPELLINGS = {
-    1: ["ene", "enero", "jan", "january"],
-    2: ["feb", "febrero", "february"],
-    3: ["mar", "marzo", "march"],
-    4: ["abr", "abril", "apr", "april"],
-    5: ["may", "mayo"],
-    6: ["jun", "junio", "june"],
-    7: ["jul", "julio", "july"],
-    8: ["ago", "agosto", "aug", "august"],
-    9: ["sep", "sept", "septiembre", "setiembre", "september"],
-    10: ["oct", "octubre", "october"],
-    11: ["nov", "noviembre", "november"],
-    12: ["dic", "diciembre", "dec", "december"],
+    "ene": 1, "enero": 1, "jan": 1, "january": 1, "1": 1,
+    "feb": 2, "febrero": 2, "february": 2, "2": 2,
+    "mar": 3, "marzo": 3, "march": 3, "3": 3,
+    "abr": 4, "abril": 4, "apr": 4, "april": 4, "4": 4,
+    "may": 5, "mayo": 5, "5": 5,
+    "jun": 6, "junio": 6, "june": 6, "6": 6,
+    "jul": 7, "julio": 7, "july": 7, "7": 7,
+    "ago": 8, "agosto": 8, "aug": 8, "august": 8, "8": 8,
+    "sep": 9, "sept": 9, "septiembre": 9, "setiembre": 9, "september": 9, "9": 9,
+    "oct": 10, "octubre": 10, "october": 10, "10": 10,
+    "nov": 11, "noviembre": 11, "november": 11, "11": 11,
+    "dic": 12, "diciembre": 12, "dec": 12, "december": 12, "12": 12,
 }
 
 # Regular expressions that name the date, year and month column of a table.
@@ -21,6 +21,19 @@ DATE_COLUMN_PATTERNS = [r"^fecha$", r"date", r"periodo", r"mes_ano", r"ano_mes"]
 YEAR_COLUMN_PATTERNS = [r"^ano$", r"^anio$", r"year", r"ejercicio"]
 MONTH_COLUMN_PATTERNS = [r"^mes$", r"month"]
 
+# Date texts in ISO form, with or without a day and a time.
+ISO_DATE = r"^\d{4}-\d{1,2}(-\d{1,2}([ T].*)?)?$"
+
+# Date texts with a year and month, with or without a day, and day or month before the year.
+YEAR_FIRST_DATE = r"^\d{4}[-/]\d{1,2}([-/]\d{1,2})?$"
+YEAR_LAST_DATE = r"^\d{1,2}[-/]\d{1,2}[-/]\d{4}$"
+
+# Other formats of dates in a date column, and what such texts look like.
+DATE_FORMATS = [
+    "MMM yyyy", "MMMM yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM-yyyy", "d-MMM-yyyy", "yyyyMM", "yyyyMMdd", "d/M/yy",
+]
+DATE_LOOK = r"[A-Za-z]{3}.*\d{4}|^\d{6}$|^\d{8}$|^\d{1,2}/\d{1,2}/\d{2}$"
+
 # A year inside a text.
 YEAR_PATTERN = r"(19|20)\d{2}"
 
@@ -64,45 +77,21 @@ DEFAULT_WINDOWS = [3, 6, 12]
 # First month of the strict panel.
 PANEL_START = "2019-01-01"
 
-# Target catalog (column, label, description, unit, priority).
+# Target catalog (column, label, description, unit, priority); the descriptions are our own.
 TARGET_CATALOG = [
-    ("cement_import_tons", "Cement import tons",
-     "Monthly tons of cement-related imports. Add this target after parsing WITS/Comtrade or a quantity source.",
-     "tons", 10),
-    ("cement_export_tons", "Cement export tons",
-     "Monthly tons of cement-related exports. Add this target after parsing WITS/Comtrade or a quantity source.",
-     "tons", 11),
-    ("net_cement_import_tons", "Net cement import tons",
-     "Cement import tons minus cement export tons.", "tons", 12),
-    ("cement_import_value_usd", "Cement import value",
-     "Monthly USD value of cement-related imports. Add this after parsing Banguat product-level trade data.",
-     "USD", 20),
-    ("cement_export_value_usd", "Cement export value",
-     "Monthly USD value of cement-related exports. Add this after parsing Banguat product-level trade data.",
-     "USD", 21),
-    ("construction_area_m2", "Construction area",
-     "Authorized/registered private construction area from INE, converted to a monthly series when needed.",
-     "square meters", 50),
-    ("construction_cost_gtq", "Construction cost",
-     "Approximate private construction cost from INE, converted to a monthly series when needed.",
-     "GTQ", 51),
-    ("construction_num_constructions", "Number of constructions",
-     "Number of private construction records from INE, converted to a monthly series when needed.",
-     "count", 52),
-    ("imae_construction_index", "IMAE construction index",
-     "Monthly economic activity index for the construction sector from Banguat IMAE components.",
-     "index", 30),
-    ("imae_general_index", "IMAE general index",
-     "Monthly general economic activity index from Banguat IMAE components.", "index", 31),
-    ("imae_construction_yoy", "IMAE construction YoY",
-     "Year-over-year percentage change of the construction-sector IMAE.", "percent", 32),
-    ("imae_general_yoy", "IMAE general YoY",
-     "Year-over-year percentage change of the general IMAE.", "percent", 33),
-    ("imae_construction_trend_index", "IMAE construction trend-cycle index",
-     "Trend-cycle index for construction-sector activity from Banguat IMAE components.", "index", 34),
-    ("imae_general_trend_index", "IMAE general trend-cycle index",
-     "Trend-cycle index for general economic activity from Banguat IMAE components.", "index", 35),
-    (PROXY_TARGET, "Legacy cement-related proxy",
-     "Transparent proxy built from cement/construction/material indicators when direct target series are unavailable.",
-     "standardized index", 90),
+    ("cement_import_tons", "Cement import tons", "Weight of cement imported in the month, from a source with quantities.", "tons", 10),
+    ("cement_export_tons", "Cement export tons", "Weight of cement exported in the month, from a source with quantities.", "tons", 11),
+    ("net_cement_import_tons", "Net cement import tons", "Imported less exported weight of cement.", "tons", 12),
+    ("cement_import_value_usd", "Cement import value", "Dollar value of cement imports, from trade by product.", "USD", 20),
+    ("cement_export_value_usd", "Cement export value", "Dollar value of cement exports, from trade by product.", "USD", 21),
+    ("construction_area_m2", "Construction area", "Licensed private building area, a third of each quarter.", "square meters", 50),
+    ("construction_cost_gtq", "Construction cost", "Estimated cost of licensed private buildings, a third of each quarter.", "GTQ", 51),
+    ("construction_num_constructions", "Number of constructions", "Licensed private buildings, a third of each quarter.", "count", 52),
+    ("imae_construction_index", "IMAE construction index", "Activity of the construction sector, original series.", "index", 30),
+    ("imae_general_index", "IMAE general index", "Activity of the whole economy, original series.", "index", 31),
+    ("imae_construction_yoy", "IMAE construction YoY", "Change of construction activity over twelve months.", "percent", 32),
+    ("imae_general_yoy", "IMAE general YoY", "Change of the whole economy's activity over twelve months.", "percent", 33),
+    ("imae_construction_trend_index", "IMAE construction trend-cycle index", "Activity of the construction sector, trend and cycle.", "index", 34),
+    ("imae_general_trend_index", "IMAE general trend-cycle index", "Activity of the whole economy, trend and cycle.", "index", 35),
+    (PROXY_TARGET, "Legacy cement-related proxy", "Mean z-score of the indicators that go with cement demand.", "standardized index", 90),
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from monthpanel.fixed import MONTH_SPELLINGS
+from monthpanel.fixed import DATE_FORMATS, DATE_LOOK, ISO_DATE, MONTH_SPELLINGS, YEAR_FIRST_DATE, YEAR_LAST_DATE
 from monthpanel.functions.text import fold_text
 
 
@@ -19,8 +19,7 @@ def month_number(label: Column) -> Column:
     words = F.trim(F.regexp_replace(fold_text(label), "[^a-z0-9]+", " "))
     # A lone number without its zeros, or the first word of several.
     key = F.regexp_replace(words, "^0*([0-9]+)$|^([a-z]+) .*$", "$1$2")
-    named = [(name, month) for month, names in MONTH_SPELLINGS.items() for name in [*names, str(month)]]
-    return F.try_element_at(F.create_map(*[F.lit(x) for pair in named for x in pair]), key)
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in MONTH_SPELLINGS.items() for x in pair]), key)
 
 
 def month_of_number(value: Column) -> Column:
@@ -30,7 +29,7 @@ def month_of_number(value: Column) -> Column:
 
 def month_number_strict(label: Column) -> Column:
     """As :func:`month_number`, but a label that is present and unknown fails the query."""
-    problem = F.raise_error(F.concat(F.lit("could not parse month value: "), label)).cast("int")
+    problem = F.raise_error(F.concat(F.lit("no month: "), label)).cast("int")
     return F.coalesce(month_number(label), F.when(label.isNotNull(), problem))
 
 
@@ -51,12 +50,22 @@ def date_in_text(text: Column) -> Column:
         F.when(first > 12, first).otherwise(second),
     )
     return (
-        F.when(trimmed.rlike(r"^\d{4}[-/]\d{1,2}([-/]\d{1,2})?$"), year_first)
-        .when(trimmed.rlike(r"^\d{1,2}[-/]\d{1,2}[-/]\d{4}$"), year_last)
+        F.when(trimmed.rlike(YEAR_FIRST_DATE), year_first)
+        .when(trimmed.rlike(YEAR_LAST_DATE), year_last)
         .try_cast("date")
     )
 
 
+def general_date(text: Column) -> Column:
+    """Date from any text that a date column may hold: ISO with or without a time, the forms of
+    :func:`date_in_text`, and the listed formats with month names or without separators."""
+    trimmed = F.trim(text)
+    listed = F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)).cast("date") for f in DATE_FORMATS])
+    # A bare cast would take six digits for a year.
+    iso = F.when(trimmed.rlike(ISO_DATE), trimmed.try_cast("date"))
+    return F.coalesce(iso, date_in_text(text), F.when(trimmed.rlike(DATE_LOOK), listed))
+
+
 def strict_month(text: Column, ts: Column | None = None, num: Column | None = None,
                  excel_serial: bool = False) -> Column:
     """Month start of a date cell, years 1990..2035 only.

@@ -25,7 +25,8 @@ def parse_number(text: Column) -> Column:
     plain = F.when(decimal_comma, F.translate(digits, ",.", ".")).otherwise(
         F.translate(digits, ",", "")
     )
-    return plain.try_cast("double")
+    # A failed cast costs an exception, so what is no number is told apart before.
+    return F.when(plain.rlike(r"^-?(\d+\.?\d*|\.\d+)$"), plain.try_cast("double"))
 
 
 def to_number(value: Column) -> Column:

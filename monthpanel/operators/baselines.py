@@ -40,7 +40,7 @@ def mark_holdout(df: DataFrame, test_size: int, keys: list[str] = ()) -> DataFra
 def temporal_split(df: DataFrame, test_size: int, keys: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Train and test frames; a key without a train row fails the query."""
     marked = mark_holdout(df, test_size, keys)
-    problem = F.raise_error(F.lit("test_size must be smaller than the dataset length")).cast("string")
+    problem = F.raise_error(F.lit("the test takes all rows of a series")).cast("string")
     part = F.when(F.col("train_rows") <= 0, problem).otherwise(F.col("part"))
     checked = marked.withColumn("part", part)
     return tuple(checked.where(F.col("part") == p).select(*df.columns) for p in ("train", "test"))
@@ -137,7 +137,7 @@ def ordered_comparison(comparison: DataFrame, keys: list[str] = ()) -> DataFrame
 def check_any_trained(comparison: DataFrame, target: str) -> None:
     """Raise when no model trained."""
     if comparison.where(F.col("status") == TRAINED).isEmpty():
-        raise ValueError(f"No baseline model could be trained for target {target!r}.")
+        raise ValueError(f"no baseline fits the target {target!r}")
 
 
 def union_predictions(frames: list[DataFrame]) -> DataFrame:

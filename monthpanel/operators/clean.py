@@ -12,7 +12,7 @@ from monthpanel.fixed import (
     DATE_COLUMN_PATTERNS, MONTH_COLUMN_PATTERNS, PROXY_KEYWORDS, TRADE_KEYWORDS, YEAR_COLUMN_PATTERNS,
 )
 from monthpanel.functions.months import (
-    date_in_text, month_from_parts, month_number, month_number_strict, month_of_number, month_start,
+    general_date, month_from_parts, month_number, month_number_strict, month_of_number, month_start,
 )
 from monthpanel.functions.numbers import parse_number, to_number
 from monthpanel.functions.text import slug_name
@@ -108,8 +108,7 @@ def number_column(df: DataFrame, column: str) -> Column:
 def _date_column(df: DataFrame, column: str) -> Column:
     if isinstance(df.schema[column].dataType, (DateType, TimestampType, TimestampNTZType)):
         return F.col(column).cast("date")
-    text = F.col(column).cast("string")
-    return F.coalesce(F.trim(text).try_cast("date"), date_in_text(text))
+    return general_date(F.col(column).cast("string"))
 
 
 def with_month(df: DataFrame, year_col: str | None = None, month_col: str | None = None,
@@ -124,7 +123,7 @@ def with_month(df: DataFrame, year_col: str | None = None, month_col: str | None
     has_date = bool(date_col) and date_col in df.columns
     has_parts = bool(year_col) and bool(month_col) and {year_col, month_col} <= set(df.columns)
     if not has_date and not has_parts:
-        raise MonthParseError("need either a date column or both year and month columns")
+        raise MonthParseError("a month needs a date column, or a year and a month column")
 
     parts = None
     if has_parts:
@@ -143,7 +142,7 @@ def with_month(df: DataFrame, year_col: str | None = None, month_col: str | None
 
     dates = month_start(_date_column(df, date_col))
     any_date = F.coalesce(F.bool_or(dates.isNotNull()), F.lit(False))
-    missing = F.raise_error(F.lit("need either a date column or both year and month columns")).cast("date")
+    missing = F.raise_error(F.lit("a month needs a date column, or a year and a month column")).cast("date")
     fallback = parts if has_parts else missing
     if not keys:
         flag = df.select(any_date).scalar()

@@ -29,7 +29,7 @@ def check_best(comparison: DataFrame, keys: list[str] = ()) -> DataFrame:
     """As :func:`best_model`, failing when nothing trained at all."""
     best = best_model(comparison, keys)
     if best.isEmpty():
-        raise ValueError("No trained models with valid RMSE were found.")
+        raise ValueError("no model was trained and scored")
     return best
 
 
@@ -37,7 +37,7 @@ def model_predictions(predictions: DataFrame, model: str, check: bool = False) -
     """Predictions of one model; order by date at the sink."""
     rows = predictions.where(F.col("model") == model).withColumn("date", F.col("date").cast("date"))
     if check and rows.isEmpty():
-        raise ValueError(f"No predictions found for model {model!r}.")
+        raise ValueError(f"model {model!r} has no predictions")
     return rows
 
 
@@ -74,7 +74,7 @@ def lag_correlations(df: DataFrame, target: str, max_lag: int = 12, min_observat
     row. One exchange by key and feature serves the lags and the aggregation.
     """
     if target not in df.columns:
-        raise ValueError(f"Target column {target!r} was not found.")
+        raise ValueError(f"no column {target!r} to forecast")
     columns = features or numeric_columns(df, but=["date", *keys])
     values = df.select(
         *keys, "date", F.col(target).cast("double").alias("__target"),

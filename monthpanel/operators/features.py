@@ -42,14 +42,14 @@ def add_calendar(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 def _lags(columns: list[str], lags: list[int], keys: list[str]) -> list[Column]:
     if any(k <= 0 for k in lags):
-        raise ValueError("All lags must be positive integers.")
+        raise ValueError("a lag is at least one row")
     w = _by_date(keys)
     return [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for c in columns for k in lags]
 
 
 def _rolling(columns: list[str], windows: list[int], keys: list[str]) -> list[Column]:
     if any(n <= 1 for n in windows):
-        raise ValueError("Rolling windows must be greater than 1.")
+        raise ValueError("a rolling window spans at least two rows")
     made = []
     for c in columns:
         for n in windows:
@@ -87,9 +87,9 @@ def supervised_strict(df: DataFrame, target: str, lags: list[int] = DEFAULT_LAGS
     columns. ``check`` runs the query once to fail when no row remains.
     """
     if "date" not in df.columns:
-        raise ValueError("Input dataframe must contain a 'date' column.")
+        raise ValueError("a supervised frame needs the column 'date'")
     if target not in df.columns:
-        raise ValueError(f"Target column {target!r} was not found.")
+        raise ValueError(f"no column {target!r} to forecast")
     others = [c for c in dict.fromkeys(exogenous or []) if c in df.columns and c not in (target, "date", *keys)]
     numbers = df.select(*keys, "date", *[to_number(F.col(c)).alias(c) for c in [target, *others]])
     frame = numbers.select(
@@ -99,10 +99,7 @@ def supervised_strict(df: DataFrame, target: str, lags: list[int] = DEFAULT_LAGS
         *_lags(others, [1], keys),
     ).na.drop("any")
     if check and frame.isEmpty():
-        raise ValueError(
-            "No supervised rows remain after lag/rolling feature generation. "
-            "Use a longer series or smaller lag/rolling windows."
-        )
+        raise ValueError("the lags and windows leave no supervised row")
     return frame
 
 
@@ -131,7 +128,7 @@ def predictor_screen(df: DataFrame, target: str, keys: list[str] = (), min_ratio
     """Share of present values per possible predictor: ``column, ratio, is_predictor``."""
     columns = numeric_columns(df, but=["date", target, f"{target}_source_count", *keys])
     if not columns:
-        raise ValueError("No numeric predictor columns were found")
+        raise ValueError("no numeric column is left as a predictor")
     shares = df.agg(*[F.avg(F.col(c).isNotNull().cast("double")).alias(c) for c in columns])
     long = shares.unpivot([], columns, "column", "ratio")
     return long.withColumn("is_predictor", F.col("ratio") >= min_ratio)
@@ -174,7 +171,7 @@ def composite_target(df: DataFrame, candidates: list[str] | None = None, target:
     chosen = proxy_candidates(df.columns, keys) if candidates is None else candidates
     chosen = [c for c in chosen if c in df.columns]
     if not chosen:
-        raise ValueError("Could not build proxy target because no candidate columns were found")
+        raise ValueError("no columns to make the composite target from")
     hidden = {c: f"__{c}" for c in chosen}
     numbers = df.select("*", *[to_number(F.col(c)).alias(h) for c, h in hidden.items()])
     if interpolate:

