@@ -6,13 +6,14 @@ from monthpanel.operators.baselines import baseline_forecasts, score_forecasts
 from monthpanel.operators.features import add_lags, add_rolling
 from monthpanel.operators.panel import month_spine
 from monthpanel.plans import (
-    queries_clean, queries_features, queries_forecast, queries_learn, queries_panel, queries_quality, queries_reshape,
+    queries_choice, queries_clean, queries_features, queries_forecast, queries_learn, queries_panel, queries_quality, queries_reshape,
 )
 from monthpanel.plans.views import nation_month
 
 ALL = {
     **queries_panel.QUERIES, **queries_clean.QUERIES, **queries_features.QUERIES, **queries_forecast.QUERIES,
     **queries_reshape.QUERIES, **queries_quality.QUERIES, **queries_learn.QUERIES,
+    **queries_choice.QUERIES,
 }
 
 
