@@ -100,13 +100,16 @@ def _shielded(mark: str) -> Column:
 
 
 def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
-                     sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+                     sample_rows: int | None = SAMPLE_ROWS) -> DataFrame:
     """First delimiter under which a whole-file text reads as a table, with the table's profile.
 
     A field that starts with a double quote keeps delimiters and line ends up to
-    its closing quote; other quotes are plain text. A line with more fields than
-    the header rules a delimiter out. Fields are counted per file and column
-    map-side, so a shuffle carries one row per column of each attempt.
+    its closing quote; other quotes are plain text. Lines of blanks are skipped.
+    Where the first data line has more fields than the header, its leading fields
+    are an index and the header names the rest; a line with still more fields
+    rules the delimiter out. ``sample_rows=None`` reads all lines. Fields are
+    counted per file and column map-side, so a shuffle carries one row per column
+    of each attempt.
     """
     marks = [F.struct(F.lit(i).alias("attempt"), F.lit(m).alias("mark")) for i, m in enumerate(DELIMITERS)]
     whole = F.concat(F.lit("\n"), F.regexp_replace(F.col(text), "\r\n?", "\n"))
@@ -119,11 +122,21 @@ def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
             F.contains("head", F.lit('"')) & F.contains("text", d["mark"])))).alias("d"))
         .select("path", F.col("d.attempt").alias("attempt"), F.col("d.mark").alias("delimiter"), "text")
     )
-    lines = F.filter(F.split(_by_delimiter(_shielded), "\n"), lambda line: line != "")
+    blanks = F.when(F.col("delimiter") == "\t", F.lit(" ")).otherwise(F.lit(" \t"))
+    lines = F.filter(F.split(_by_delimiter(_shielded), "\n"), lambda line: F.btrim(line, blanks) != "")
+    sampled = tried.select("path", "attempt", "delimiter", lines.alias("lines"))
+    if sample_rows is not None:
+        sampled = sampled.withColumn("lines", F.slice("lines", 1, sample_rows + 1))
+
+    def width(row: int) -> Column:
+        return _by_delimiter(lambda mark: F.size(F.split(F.get("lines", F.lit(row)), re.escape(mark))))
+
+    index = F.greatest(F.lit(0), F.coalesce(F.when(F.size("lines") > 1, width(1) - width(0)), F.lit(0)))
     fields = (
-        tried.select("path", "attempt", "delimiter", F.posexplode(F.slice(lines, 1, sample_rows + 1)).alias("row", "line"))
-        .select("path", "attempt", "delimiter", "row",
-                F.posexplode(_by_delimiter(lambda mark: F.split("line", re.escape(mark)))).alias("col", "field"))
+        sampled.select("path", "attempt", "delimiter", index.alias("index"), F.posexplode("lines").alias("row", "line"))
+        .select("path", "attempt", "delimiter", "row", "index",
+                F.posexplode(_by_delimiter(lambda mark: F.split("line", re.escape(mark)))).alias("at", "field"))
+        .withColumn("col", F.when(F.col("row") > 0, F.col("at") - F.col("index")).otherwise(F.col("at"))).where("col >= 0")
         .withColumn("field", F.translate("field", COVERS, COVERED))
         .withColumn("field", F.when(F.startswith("field", F.lit('"')), F.btrim("field", F.lit('"'))).otherwise(F.col("field")))
     )

@@ -88,13 +88,17 @@ def test_sheet_profile(spark):
 def test_sniffing(spark, tmp_path):
     texts = {
         "semi": "Mes;Valor\n2020-01;1,5\n2020-02;2\n", "pipe": "a|b|c\r\n1|2|x\r\n3|4|y\r\n", "none": "hola mundo\notra linea\n",
-        "quoted": 'fecha,nota\n2020-01,"uno, dos"\n2020-02,"tres\ncuatro, cinco"\n', "ragged": "a,b\n1,2,3\n",
+        "quoted": 'fecha,nota\n2020-01,"uno, dos"\n2020-02,"tres\ncuatro, cinco"\n', "ragged": "a,b\n1,2,3\n", "blanks": "mes,b\n1,2\n   \n3,4\n",
+        "too_many": "mes,b\n1,2\n1,2,3\n",
         "empty_column": "x,y\n1,\n2,NA\n", "first_wins": "mes,a;b\n1,2;3\n", "one_line": "mes,b\n",
         "inches": 'mes,tubo\n1,2" recto\n2,3" curvo\n', "escaped": 'mes,x\n1,"a ""b, c"", d"\n2,""\n', "odd": 'mes,b\n1,x="2,3"\n',
     }
     files = spark.createDataFrame(list(texts.items()), "path string, text string")
     got = {r["path"]: r for r in candidate_listing(sniff_delimiters(files)).collect()}
-    assert set(got) == {"semi", "pipe", "quoted", "first_wins", "inches", "escaped"}
+    assert set(got) == {"semi", "pipe", "quoted", "first_wins", "inches", "escaped", "ragged", "odd", "blanks"}
+    # The first field of lines that have one more than the header is an index.
+    assert (got["ragged"]["columns"], got["ragged"]["numeric_like_columns"]) == (2, "a, b")
+    assert (got["odd"]["columns"], got["odd"]["numeric_like_columns"]) == (2, "mes, b") and got["blanks"]["rows"] == 2
     assert (got["inches"]["rows"], got["escaped"]["rows"], got["escaped"]["columns"]) == (2, 2, 2)
     assert (got["semi"]["delimiter"], got["pipe"]["delimiter"], got["first_wins"]["delimiter"]) == (";", "|", ",")
     assert (got["quoted"]["rows"], got["quoted"]["columns"], got["quoted"]["date_like_columns"]) == (2, 2, "fecha")
