@@ -156,12 +156,13 @@ shielded AS (
       ',;' || chr(9) || '|' || chr(10), chr(1) || chr(2) || chr(3) || chr(4) || chr(5))))[i], '')), '') AS t
   FROM tried),
 tries AS (
-  SELECT path, attempt, mark, list_transform(list_filter(string_split(t, chr(10)), lambda x: x <> '')[1:81],
-    lambda x: string_split(x, mark)) AS f FROM shielded),
+  SELECT path, attempt, mark, list_transform(list_filter(string_split(t, chr(10)),
+    lambda x: trim(x, CASE mark WHEN chr(9) THEN ' ' ELSE ' ' || chr(9) END) <> '')[1:81], lambda x: string_split(x, mark)) AS f FROM shielded),
+indexed AS (SELECT path, attempt, mark, f, greatest(0, len(f[2]) - len(f[1])) AS e FROM tries WHERE len(f) > 1 AND len(f[1]) >= 2),
 shaped AS (
   SELECT path, attempt, mark, f[1] AS h, len(f[1]) AS w,
-    list_filter(f[2:81], lambda r: len(list_filter(r, lambda v: v NOT IN {_MISSING})) > 0) AS body
-  FROM tries WHERE len(f) > 1 AND len(f[1]) >= 2 AND list_max(list_transform(f, lambda r: len(r))) <= len(f[1])),
+    list_filter(list_transform(f[2:81], lambda r: r[e + 1:]), lambda r: len(list_filter(r, lambda v: v NOT IN {_MISSING})) > 0) AS body
+  FROM indexed WHERE list_max(list_transform(f[2:81], lambda r: len(r))) <= len(f[1]) + e),
 columns AS (SELECT path, attempt, mark, len(body) AS n, unnest(h) AS label, unnest(range(1, w + 1)) AS col FROM shaped WHERE len(body) > 0),
 fields AS (SELECT path, attempt, unnest(body) AS r FROM shaped),
 vals AS (
