@@ -289,21 +289,52 @@ def strict_series(long: DataFrame, start: str, end: str, keys: list[str] = ()) -
 
 
 def panel_violations(df: DataFrame, start: str, end: str, keys: list[str] = ()) -> DataFrame:
-    """Breaches of the complete-panel contract: ``kind, keys, date, column``; empty means it holds.
+    """Breaches of the complete-panel contract: ``kind, keys, date, column``; none for a valid panel.
 
-    Kinds are ``missing`` and ``extra`` months, ``duplicate`` months and ``null`` values.
+    Kinds are ``missing`` and ``extra`` months, ``duplicate`` dates and ``null`` values. All are read off one
+    aggregation by key and date: a month is missing between two that are there, before the first or after the last.
     """
+    month_bounds(start, end)
     values = [c for c in df.columns if c != "date" and c not in keys]
-    dated = df.withColumn("date", F.col("date").cast("date"))
-    flags = F.array_compact(F.array(*[F.when(F.col(v).isNull(), F.lit(v)) for v in values])) if values else F.array()
-    nulls = dated.select(
-        F.lit("null").alias("kind"), *keys, "date", F.explode(flags.cast("array<string>")).alias("column")
+    days = df.withColumn("date", F.col("date").cast("date")).groupBy(*keys, "date").agg(
+        F.count("*").alias("__rows"),
+        F.array(*[
+            F.struct(F.lit(c).alias("column"), F.count(F.when(F.col(c).isNull(), 1)).cast("int").alias("n")) for c in values
+        ]).alias("__nulls"),
     )
-    repeats = dated.groupBy(*keys, "date").count().where("count > 1").select(
-        F.lit("duplicate").alias("kind"), *keys, "date", F.lit(None).cast("string").alias("column")
+    first, last = (month_start(F.lit(str(d)).cast("date")) for d in (start, end))
+    in_window = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    good = F.when((F.col("date") == month_start(F.col("date"))) & F.col("date").between(first, last), F.col("date"))
+    by_key = Window.partitionBy(*keys)
+    before = F.last("__good", ignorenulls=True).over(by_key.orderBy("date").rowsBetween(Window.unboundedPreceding, -1))
+    placed = days.withColumn("__good", good).select(
+        "*", before.alias("__before"), F.max("__good").over(by_key).alias("__latest"),
+        (F.row_number().over(by_key.orderBy("date")) == 1).alias("__once"),
     )
-    sequence = missing_and_extra_months(dated, start, end, keys).withColumn("column", F.lit(None).cast("string"))
-    return sequence.unionByName(repeats).unionByName(nulls)
+    ahead = F.add_months(first, -1)
+
+    def gap(after: Column, until: Column, where: Column) -> Column:
+        """Months strictly between two, told by a row for which ``where`` holds."""
+        begin, stop = F.add_months(after, 1), F.add_months(until, -1)
+        months = F.when(where & (begin <= stop), F.sequence(begin, stop, F.expr("interval 1 month")))
+        return F.transform(F.coalesce(months, F.array().cast("array<date>")), lambda d: breach("missing", d))
+
+    def breach(kind: str, date: Column, column: Column | None = None) -> Column:
+        name = F.lit(None).cast("string") if column is None else column
+        return F.struct(F.lit(kind).alias("kind"), date.alias("date"), name.alias("column"))
+
+    def when(kind: str, condition: Column) -> Column:
+        return F.filter(F.array(breach(kind, F.col("date"))), lambda _: F.coalesce(condition, F.lit(False)))
+
+    here = F.col("__good").isNotNull()
+    breaches = F.concat(
+        gap(F.coalesce("__before", ahead), F.col("__good"), here),
+        gap(F.coalesce("__latest", ahead), F.add_months(last, 1), F.col("__once")),
+        when("extra", ~in_window | (F.col("date") != month_start(F.col("date")))),
+        when("duplicate", F.col("__rows") > 1),
+        *([F.flatten(F.transform("__nulls", lambda x: F.array_repeat(breach("null", F.col("date"), x["column"]), x["n"])))] if values else []),
+    )
+    return placed.select(*keys, F.explode(breaches).alias("b")).select("b.kind", *keys, "b.date", "b.column")
 
 
 def validate_panel(df: DataFrame, start: str, end: str, keys: list[str] = ()) -> None:
