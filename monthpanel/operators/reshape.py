@@ -124,19 +124,18 @@ def two_row_header(cells: DataFrame, header_row: int = 0, keywords: list[str] |
         *SHEET, "col", month_from_parts(cell_year(), month_number(F.col("below"))).alias("date")
     ).where("date is not null")
 
-    body = cells.where(F.col("row") >= header_row + 2)
-    names = body.where(F.col("col") == 1).select(*SHEET, "row", slug(cell_label()).alias("series"))
     if match == "token":
         fits = F.arrays_overlap(F.split("series", "_"), F.array(*map(F.lit, words)))
     else:
         fits = contains_any(F.col("series"), words)
-    values = body.where(F.col("col") >= 3).select(*SHEET, "row", "col", cell_number().alias("value"))
-    return (
-        values.where("value is not null")
-        .join(names.where(fits), [*SHEET, "row"])
-        .join(months, [*SHEET, "col"])
-        .select("path", "date", "series", "value")
+    # A sheet row is gathered with its name: as many cells as the sheet has columns, and only of rows that count.
+    number = F.when(F.col("col") >= 3, cell_number())
+    rows = cells.where((F.col("row") >= header_row + 2) & ((F.col("col") == 1) | (F.col("col") >= 3))).groupBy(*SHEET, "row").agg(
+        F.max(F.when(F.col("col") == 1, slug(cell_label()))).alias("series"),
+        F.collect_list(F.when(number.isNotNull(), F.struct("col", number.alias("value")))).alias("values"),
     )
+    values = rows.where(fits).select(*SHEET, "series", F.inline("values"))
+    return values.join(months, [*SHEET, "col"]).select("path", "date", "series", "value")
 
 
 def material_index(long: DataFrame, series: list[str] | None = None, prefix: str = "ipmc",
