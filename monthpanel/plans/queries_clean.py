@@ -79,7 +79,8 @@ def build_month_date(spark, sf_dir):
     day = F.col("o_orderdate")
     parts = orders.select(
         "o_orderpriority", "o_orderkey", F.concat(F.year(day), F.lit(" ")).alias("ano"), named_month(day).alias("mes"),
-        F.when(F.col("o_orderpriority") < "3", F.date_format(day, "yyyy-MM-dd")).otherwise(F.lit("s/d")).alias("fecha"),
+        F.when(F.col("o_orderpriority") >= "3", "s/d").when(F.col("o_orderkey") % 2 == 0, F.date_format(day, "MMM yyyy"))
+        .otherwise(F.date_format(day, "yyyy-MM-dd HH:mm:ss")).alias("fecha"),
     )
     dated = with_month(parts, "ano", "mes", "fecha", keys=["o_orderpriority"])
     return dated.select("o_orderkey", "date")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from monthpanel.fixed import CSV_MISSING, DATE_LIKE, DELIMITERS
 from monthpanel.functions.numbers import parse_number
 from monthpanel.functions.text import contains_any, slug
-from monthpanel.sources.cells import SHEET, cell_label, cell_number
+from monthpanel.sources.cells import CELL_SCHEMA, SHEET, cell_label, cell_number
 
 SAMPLE_ROWS = 80
 # Stand-ins for delimiters and line ends inside quoted fields.
@@ -173,6 +173,15 @@ def profile_sources(cells: DataFrame | None, files: DataFrame | None) -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
+def profile_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates of everything in a folder as one job: text files (``.csv``, ``.tsv``, ``.txt``) by their delimiter,
+    cell tables (``.cells.parquet``) by their sheets. Other and hidden files are left out."""
+    texts = spark.read.option("pathGlobFilter", "*.{csv,tsv,txt}").text(folder, wholetext=True)
+    files = texts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    cells = spark.read.option("pathGlobFilter", "*.cells.parquet").schema(CELL_SCHEMA).parquet(folder)
+    return profile_sources(cells, files)
+
+
 def candidate_listing(candidates: DataFrame) -> DataFrame:
     """Candidates with their name lists as text: first 20 names, all date-like, first 20 numeric-like."""
     def joined(name: str, first: int | None) -> Column:

@@ -11,7 +11,7 @@ from monthpanel.operators.targets import (
     available_targets, default_target, label_columns, target_label, validate_target,
 )
 from monthpanel.sources.profile import (
-    candidate_listing, profile_sheets, profile_sources, read_text_files, sniff_delimiters,
+    candidate_listing, profile_sheets, profile_folder, profile_sources, read_text_files, sniff_delimiters,
 )
 from monthpanel.sources.tables import read_monthly, write_dataset, write_predictions
 from test_reshape import grid
@@ -111,6 +111,16 @@ def test_sniffing(spark, tmp_path):
     assert {(r["sheet"], r["header_row"]) for r in both.collect()} == {("csv", 0), ("s", 0)} and both.count() == 3
 
 
+def test_a_folder_of_texts_and_cell_tables(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Mes;Valor\n2020-01;1,5\n2020-02;2\n")
+    (tmp_path / "notes.md").write_text("mes,b\n1,2\n")
+    assert {r["sheet"] for r in profile_folder(spark, str(tmp_path)).collect()} == {"csv"}
+    book = grid(spark, "book", ("s", {(0, 0): "mes", (0, 1): "v", (1, 0): "enero", (1, 1): 2}))
+    book.toPandas().astype({"num": "float64"}).to_parquet(tmp_path / "book.cells.parquet", coerce_timestamps="us")
+    found = {(r["path"].rsplit("/", 1)[-1], r["sheet"], r["rows"]) for r in profile_folder(spark, str(tmp_path)).collect()}
+    assert found == {("a.csv", "csv", 2), ("book", "s", 1)}
+
+
 def test_scans_and_sinks(spark, monthly, tmp_path):
     df = monthly("2024-01", y=[1.5, None])
     for fmt in ("csv", "parquet"):
