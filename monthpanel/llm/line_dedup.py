@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthpanel.llm.shared import BLANKS, lower_ascii, stored
+from monthpanel.llm.shared import BLANKS, lower_ascii, stored, table
 
 MIN_CHARS, MIN_DOCS = 20, 3
 
@@ -60,8 +60,6 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op8_line_dedup(spark, sf_dir):
-    from monthpanel.llm.shared import table
-
     made = drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return made.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
