@@ -86,11 +86,16 @@ def learn_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Filters from documents with a language; at most 64 languages, the most frequent ones."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (id_remainder(F.col(id_col), 4) != 2))
     known = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    languages = tuple(r.lang for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect())
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()
+    languages = tuple(r.lang for r in sizes)
     if not languages:
         return Filters((), np.zeros(1, np.uint64), np.zeros(0))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = known.where(F.col("lang").isin(*languages)).select("id", "lang").withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= DOCS)
+    # Of each language a share by hash that holds some four times the wanted number is ranked, so no rank is over all of a language.
+    place, parts = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)), 1 << 30
+    share = F.coalesce(*[F.when(F.col("lang") == r.lang, F.lit(int(parts * min(1.0, 4 * DOCS / r.n)))) for r in sizes])
+    by_hash = Window.partitionBy("lang").orderBy("place", "id")
+    some = known.select("id", "lang", place.alias("place")).where(F.col("place") < share)
+    ids = some.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= DOCS)
     sample = known.join(F.broadcast(ids.select("id", "lang").distinct()), ["id", "lang"]).select("lang", "text")
     counts = sample.mapInArrow(_count_grams, "lang string, gram bigint, n bigint")
     wide = counts.groupBy("gram").agg(*[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)])
