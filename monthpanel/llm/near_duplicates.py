@@ -173,7 +173,9 @@ def links(docs: DataFrame, sketches: DataFrame, size: int, percent: int) -> Data
     leaders = bands.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader <> last").drop("last")
     member = stored(bands.join(stored(leaders, "leaders"), "key"), "members")
     hubs = stored(_blocks(member.groupBy("rep").agg(F.min("leader").alias("hub")), ["hub"]), "hubs")
-    texts = docs.select(F.col("id").alias("rep"), "text").join(hubs, "rep").withColumn("body", F.col("text").cast("binary")).drop("text")
+    # Candidates grow with the corpus: the join that fetches their texts is a shuffle at every size.
+    texts = docs.select(F.col("id").alias("rep"), "text").join(hubs.hint("merge"), "rep")
+    texts = texts.withColumn("body", F.col("text").cast("binary")).drop("text")
     texts = stored(texts, "candidates")
 
     first = texts.select("block", "rep", F.col("rep").alias("part"), F.lit(0).alias("side"), "body")
@@ -222,7 +224,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows that aren't near-duplicates of one with a smaller id; of rows that repeat an id all stay or go."""
     gone = near_duplicates(docs, id_col, text_col, size, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(stored(gone, "gone"), F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(stored(gone, "gone").hint("merge"), F.col(id_col) == F.col("_gone"), "left_anti")
 
 
 def op6_near_duplicates(spark, sf_dir):
