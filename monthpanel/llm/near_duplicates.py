@@ -16,8 +16,8 @@ A pair at the threshold is missed with a probability of about 1e-7 (0.8) or 1e-1
 Nothing is capped: a hub of any size is split in blocks. Links are edges of a spanning forest, never all pairs of a group.
 
 Nulls: null, blank and empty texts have no shingles and are linked with nothing. Rows with a null id are linked with nothing
-either; they are kept. Rows that repeat an id are one document, with the links of all of them. Ties can't be, as components are named by their
-smallest id. Empty tables give no rows. ``near_duplicates`` ignores extra columns, ``one_of_each`` keeps them.
+either; they are kept. Rows that repeat an id are judged each by its own text, and ``one_of_each`` keeps all of them if it keeps one. Ties
+can't be, as components are named by their smallest id. Empty tables give no rows. ``near_duplicates`` ignores extra columns, ``one_of_each`` keeps them.
 """
 
 from __future__ import annotations
@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows that aren't near-duplicates of one with a smaller id; of rows that repeat an id all stay or go."""
-    gone = near_duplicates(docs, id_col, text_col, size, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
+    found = near_duplicates(docs, id_col, text_col, size, percent)
+    gone = found.groupBy(F.col(id_col).alias("_gone")).agg(F.bool_or("kept").alias("any")).where("NOT any").select("_gone")
     return docs.join(stored(gone, "gone").hint("merge"), F.col(id_col) == F.col("_gone"), "left_anti")
 
 

@@ -286,6 +286,8 @@ def test_near_duplicates_of_repeated_rows_and_null_ids(spark):
     assert sorted(((r.doc_id, r.component_id, r.kept) for r in rows), key=str) == sorted(
         [(3, 2, False), (3, 2, False), (2, 2, True), (None, None, True), (None, None, True)], key=str)
     assert near_duplicates.near_duplicates(docs.limit(0)).count() == 0
+    two = docs_of(spark, ["a b c d e", "a b c d e", "v w x y z"], [2, 3, 3])
+    assert sorted(r.doc_id for r in near_duplicates.one_of_each(two).collect()) == [2, 3, 3]
 
 
 def test_pruning_misses_at_most_the_chosen_probability():
