@@ -39,7 +39,7 @@ from monthpanel.llm.batches import bytes_of, word_hashes
 from monthpanel.llm.shared import id_remainder, new_folder, stored, table
 
 #: Words that a task gathers before it sorts them, and words of the corpus for each shard.
-GATHER, SHARD_WORDS = 2_500_000, 3_000_000
+GATHER, SHARD_WORDS = 1_800_000, 3_000_000
 HELD_OUT, ADDED = 10, 0.1
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFD5D0D2B)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -141,10 +141,13 @@ def _count_bigrams(shards: int, hot: np.ndarray) -> Callable:
         for before, words in _gathered(batches):
             keys = bigram_keys(before, words)
             order = np.argsort(keys)
-            first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
-            counts, some = np.diff(np.append(first, len(keys))), order[first]
-            before, words, keys = before[some], words[some], keys[some]
+            ordered = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            counts, keys, some = np.diff(np.append(first, len(ordered))), ordered[first], order[first]
+            before, words = before[some], words[some]
+            del order, ordered, first, some
             shard = shards_of(before, keys, shards, hot).astype(np.int64)
+            del keys
             order = np.lexsort((before, shard))
             shard, before, words, counts = shard[order], before[order], words[order], counts[order]
             bounds = np.searchsorted(shard, np.arange(shards + 1))
