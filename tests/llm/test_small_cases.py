@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names; each operator against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -239,6 +240,57 @@ def test_overlaps(spark):
     assert decontaminate.overlaps(docs_of(spark, texts), benchmark.limit(0)).count() == 0
 
 
+def brute_overlaps(texts, items, similarity=0.8):
+    """All windows of all items slid over all windows of the texts, without hashes."""
+    best = {}
+    for d, text in texts.items():
+        for t, item in items.items():
+            for i in range(len(item) - 7):
+                span = range(max(0, i - 4), min(len(item), i + 12))
+                for j in range(len(text) - 7):
+                    same = sum(0 <= k - i + j < len(text) and text[k - i + j] == item[k] for k in span)
+                    if same >= similarity * len(span) - 1e-9:
+                        matched, share = best.get((d, t), (0, 0))
+                        best[d, t] = max(matched, same), max(share, same / len(span))
+    return best
+
+
+def test_every_placement_of_other_words_has_a_seed():
+    """Of 8 to 16 words, up to a fifth of them other ones: a seed lies on equal words, wherever the others are."""
+    for n in range(8, 17):
+        for changed in itertools.combinations(range(n), n // 5):
+            assert any(
+                all(x == "0" or at + k not in changed for k, x in enumerate(seed))
+                for seed in decontaminate.SEEDS for at in range(n - len(seed) + 1)
+            ), (n, changed)
+
+
+def test_overlaps_equal_sliding_comparison(spark):
+    """All placements of 3 other words in 16 and 15 words and of 2 in 10, and passages inside longer items and at the texts' ends."""
+    draw = random.Random(7)
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (16, 15, 10, 40)}
+    texts = {}
+
+    def put(words, changed):
+        own = [f"other{draw.randrange(10**9)}" if k in changed else w for k, w in enumerate(words)]
+        texts[len(texts)] = [f"x{draw.randrange(50)}" for _ in range(draw.choice((0, 0, 3)))] + own + ["y"] * draw.choice((0, 0, 9))
+
+    for n, changed in ((16, 3), (15, 3), (10, 2)):
+        for places in itertools.combinations(range(n), changed):
+            put(items[n], places)
+    whole = len(texts)
+    for _ in range(150):
+        at, size = draw.randrange(32), draw.randint(8, 24)
+        part = items[40][at : at + size]
+        put(part, draw.sample(range(len(part)), draw.randint(0, len(part) // 5 + 1)))
+    want = brute_overlaps(texts, items)
+    assert {d for d, _ in want} >= set(range(whole)) and whole < len(want) < len(texts)
+    docs = docs_of(spark, [" ".join(t) for t in texts.values()], list(texts))
+    benchmark = spark.createDataFrame([(t, " ".join(words)) for t, words in items.items()], "item_id long, text string")
+    found = {(r.doc, r.item): (r.matched, r.similarity) for r in decontaminate.overlaps(docs, benchmark).collect()}
+    assert found == want
+
+
 def brute_groups(rows, size, percent):
     def shingles(text):
         words = [w.lower() for w in (text or "").encode().split()]
