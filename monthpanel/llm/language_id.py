@@ -1,13 +1,13 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
 Every language has a Bloom filter of its typical n-grams (four bytes of lower-cased UTF-8, all ASCII but letters taken as one
-blank). The filters are bit-sliced: one table of 64-bit masks, bit ``l`` of a slot belonging to language ``l``, so that the AND of the slots of an
-n-gram is the set of all languages that have it. A text counts the bits of the masks of all its n-grams by language; from each
+blank). The filters are bit-sliced: one table of masks of 64-bit words, as many words a slot as the languages need, bit ``l`` of a slot belonging to language ``l``, so
+that the AND of the slots of an n-gram is the set of all languages that have it. A text counts the bits of the masks of all its n-grams by language; from each
 count what the filter's fill makes by chance is taken off, and the largest corrected count decides.
 
 An n-gram is typical of a language where its rate is at least ``SHARE`` of its highest rate in any language and was seen
 ``LEAST`` times. Learned from at most ``DOCS`` documents of each language (the smallest by a hash of the id), whose id leaves no
-remainder 2. The counts of the sample are added up in Spark and the driver gets the table, of at most ``2 ** MAX_BITS`` slots.
+remainder 2. The counts of the sample are added up in Spark and the driver gets the table, of at most ``2 ** MAX_BITS`` slots (32 MB for each 64 languages).
 Scoring is one pass in Arrow batches; a text is read in slices of ``SLICE`` bytes.
 
 Nulls and texts without a letter are ``und`` with score 0. Texts with letters but no known n-gram get the most frequent language
@@ -38,7 +38,7 @@ _FLAT[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 @dataclass(frozen=True)
 class Filters:
-    """Languages by frequency, the table of masks, and the chance of each language to be hit by any n-gram."""
+    """Languages by frequency, the table of masks (a row of words for each slot beyond 64 languages), and the chance of each language to be hit by any n-gram."""
 
     languages: tuple[str, ...]
     masks: np.ndarray
@@ -83,10 +83,10 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Filters:
-    """Filters from documents with a language; at most 64 languages, the most frequent ones."""
+    """Filters from documents with a language, of all languages."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (id_remainder(F.col(id_col), 4) != 2))
     known = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
     languages = tuple(r.lang for r in sizes)
     if not languages:
         return Filters((), np.zeros(1, np.uint64), np.zeros(0))
@@ -103,17 +103,20 @@ def learn_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     totals = wide.agg(F.count("*").alias("grams"), *[F.sum(f"n{k}").alias(f"n{k}") for k in range(len(languages))]).first()
     rates = [F.col(f"n{k}") / F.lit(float(totals[f"n{k}"] or 1)) for k in range(len(languages))]
     highest = F.greatest(*rates) if len(rates) > 1 else rates[0]
-    mask = F.lit(0).cast("long")
+    words = [F.lit(0).cast("long")] * -(-len(languages) // 64)
     for k, rate in enumerate(rates):
         typical = (F.col(f"n{k}") >= LEAST) & (rate >= F.lit(SHARE) * highest)
-        mask = mask.bitwiseOR(F.when(typical, F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")))
+        words[k // 64] = words[k // 64].bitwiseOR(F.when(typical, F.shiftleft(F.lit(1).cast("long"), k % 64)).otherwise(F.lit(0).cast("long")))
+    names = [f"mask{w}" for w in range(len(words))]
     bits = int(min(MAX_BITS, max(10, np.ceil(np.log2(16 * max(totals["grams"], 1))))))
     slots = F.array(*[F.shiftright((F.col("gram") * f).bitwiseAND(0xFFFFFFFF), 32 - bits) for f in FACTORS])
-    filled = wide.select(mask.alias("mask"), F.explode(slots).alias("slot")).where("mask <> 0").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()
-    masks = np.zeros(1 << bits, np.int64)
-    masks[filled["slot"].to_numpy(np.int64)] = filled["mask"].to_numpy(np.int64)
+    own = wide.select(*[word.alias(name) for word, name in zip(words, names)], F.explode(slots).alias("slot")).where(" OR ".join(f"{x} <> 0" for x in names))
+    filled = own.groupBy("slot").agg(*[F.bit_or(x).alias(x) for x in names]).toPandas()
+    masks = np.zeros((1 << bits, len(words)), np.int64)
+    masks[filled["slot"].to_numpy(np.int64)] = filled[names].to_numpy(np.int64)
     masks = masks.view(np.uint64)
-    fill = np.array([(masks >> np.uint64(k) & np.uint64(1)).mean() for k in range(len(languages))])
+    fill = np.array([(masks[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)).mean() for k in range(len(languages))])
+    masks = masks[:, 0] if len(words) == 1 else masks
     return Filters(languages, masks, fill ** len(FACTORS))
 
 
@@ -122,7 +125,7 @@ def scorer(filters: Filters) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array
     bits, languages = int(np.log2(len(filters.masks))), len(filters.languages)
     # With few languages every AND of two masks is a small number of its own; else bits are counted one by one.
     small = languages <= 12
-    masks = filters.masks.astype(np.uint16) if small else filters.masks
+    masks = filters.masks.astype(np.uint16) if small else filters.masks.reshape(len(filters.masks), -1)
     member = (np.arange(1 << languages)[:, None] >> np.arange(languages) & 1) if small else None
     shift = np.uint32(32 - bits)
 
@@ -138,7 +141,7 @@ def scorer(filters: Filters) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array
                     if small:
                         hits += np.bincount(found, minlength=1 << languages) @ member
                     else:
-                        hits += [int((found >> np.uint64(j) & np.uint64(1)).sum()) for j in range(languages)]
+                        hits += [int((found[:, j // 64] >> np.uint64(j % 64) & np.uint64(1)).sum()) for j in range(languages)]
                 real = np.maximum(0, (hits - total * filters.chance) / np.maximum(1e-9, 1 - filters.chance))
                 best[k] = int(np.argmax(real))
                 share[k] = real[best[k]] / real.sum() if real.sum() > 0 else 0.0

@@ -168,6 +168,18 @@ def test_languages(spark):
     assert {r.lang_pred for r in language_id.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_more_languages_than_a_mask_word_has_bits(spark):
+    draw = random.Random(8)
+    words = {f"l{k:02d}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for k in range(70)}
+    # The later a language's name, the fewer documents it has.
+    truth = [lang for k, lang in enumerate(sorted(words)) for _ in range(10 + (70 - k) // 10)]
+    docs = docs_of(spark, [" ".join(draw.choices(words[lang], k=15)) for lang in truth], langs=truth)
+    filters = language_id.learn_filters(docs)
+    assert sorted(filters.languages) == sorted(words)
+    rows = {r.doc_id: r.lang_pred for r in language_id.identify(docs, filters).collect()}
+    assert [rows[i + 1] for i in range(len(truth))] == truth
+
+
 def test_filters_give_all_languages_of_an_ngram_and_texts_may_be_cut(spark, monkeypatch):
     docs = docs_of(spark, ["same words here only"] * 20 + ["same others there"] * 20, langs=["aa"] * 20 + ["bb"] * 20)
     filters = language_id.learn_filters(docs)
