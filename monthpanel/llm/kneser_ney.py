@@ -2,7 +2,8 @@
 
 Counting. Words are 64-bit hashes. Every task counts the words and the bigrams of its documents by sorting and hands over packed runs of hash and
 count, one row for each shard. The bigrams of a context go to the shard of its hash; contexts that make up over a thousandth
-of all words, at most a thousand, are spread over all shards. A shard adds up its bigrams, counts for each context how
+of all words, or that are over a tenth of ``SHARD_WORDS``, are spread over all shards: at most a thousand, or ten for each ``SHARD_WORDS`` words of
+the corpus (333,000 or 2.7 MB at 100 billion words). A shard adds up its bigrams, counts for each context how
 many words followed it once, twice and more often, and for each word how many contexts it followed; these are added up in Spark.
 The number of shards follows the number of words, so a shard has a bounded number of bigrams.
 
@@ -272,7 +273,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     sums = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("known")).first()
     if not sums["known"]:
         return Model()
-    hot = np.sort(np.array([r.word for r in words.where(F.col("n") > sums["tokens"] / 1000).select("word").collect()], np.int64).view(np.uint64))
+    hot = np.sort(np.array([r.word for r in words.where(F.col("n") > min(sums["tokens"] / 1000, SHARD_WORDS / 10)).select("word").collect()], np.int64).view(np.uint64))
     # The start of the text is a context that as many bigrams have as there are texts.
     hot = np.unique(np.append(hot, START))
     pairs = texts.mapInArrow(_count_bigrams(shards, hot), "shard long, contexts binary, runs binary")

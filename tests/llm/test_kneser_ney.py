@@ -91,3 +91,13 @@ def test_empty_table(spark):
     assert model.tokens == 0 and kn.score_texts(docs, model).count() == 0
     one = kn.score_texts(spark.createDataFrame([(1, "x y")], "doc_id long, text string"), model).first()
     assert (one.n_tokens, one.n_known, one.base_score) == (3, 0, 0.0)
+
+
+def test_contexts_beyond_a_part_of_a_shard_are_spread(spark, monkeypatch):
+    """No word makes up a thousandth of the text, but one comes more often than a tenth of a shard."""
+    monkeypatch.setattr(kn, "SHARD_WORDS", 5000)
+    texts = [" ".join(f"w{k * 50 + j}" for j in range(50)) for k in range(12_000)]
+    texts = [f"often {t}" if k % 20 == 0 else t for k, t in enumerate(texts)]
+    # 600 times in 612,600 words with the ends: over 500, under a thousandth. Besides it the marks of start and end are hot.
+    model = kn.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert len(model.hot) == 3 and 600 < model.tokens / 1000
