@@ -19,7 +19,9 @@ in parts. Rows that repeat an id are documents of their own, ordered by a hash o
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +48,25 @@ class _Chunks(dict):
 
         super().__init__()
         self.tokenizer, self.older = Tokenizer.from_file(path), {}
+        # Characters that stand for bytes: printable ones for themselves, the others from 256 on in order.
+        printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.names = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in printable)}
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode_word(self, word: str) -> bytes:
+        """Ids of lower-case letters in normal form, which the steps before the merges leave as they are but for the names of bytes."""
+        named = word if word.isascii() else word.encode().decode("latin-1").translate(self.names)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(named)]).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
             if len(chunk) > 1 and chunk[-1] in _CLOSING and chunk[-2].isalnum():  # a mark after a word is a token by itself
                 ids = self[chunk[:-1]] + self[chunk[-1]]
+            elif chunk.isalpha() and chunk.lower() == chunk and is_normalized("NFC", chunk):
+                ids = self.encode_word(chunk)
             else:
                 ids = self.encode(chunk)
         if len(chunk) <= LONGEST:
@@ -75,8 +87,10 @@ def ids_of(text: str, path: str) -> bytes:
         chunks = _loaded[path] = _Chunks(path)
     if any(s in text for s in _SEPARATORS):
         return chunks.encode(text)
-    if text.isascii() and "<|" not in text:  # the tokenizer lower-cases all but its special tokens
-        text = text.lower()
+    if "<|" not in text and "\u03a3" not in text:  # the tokenizer lower-cases all but its special tokens, and a sigma at any place alike
+        low = text.lower()
+        if text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low):
+            text = low
     return b"".join(map(chunks.__getitem__, text.split()))
 
 
