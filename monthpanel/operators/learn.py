@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from monthpanel.operators.baselines import compare_models, mark_holdout, union_predictions
+from monthpanel.operators.moments import comoments
 from monthpanel.operators.quantiles import exact_quantiles
 from monthpanel.sources.tables import stored_at
 
@@ -92,23 +93,18 @@ def ridge_by_leave_one_out(train: DataFrame, test: DataFrame, features: list[str
                            alphas: list[float] = RIDGE_ALPHAS) -> tuple[DataFrame, float]:
     """Ridge on z-scored features with the alpha of least leave-one-out error: ``prediction`` added to test.
 
-    Two passes over the train rows: one sums the Gram matrix (only features x
+    Two passes over the train rows: one sums the co-moments as arrays (only features x
     features numbers reach the driver), one sums the squared left-out errors of
     every alpha, with the leverage of a row taken in the Gram's eigenbasis.
     """
-    p = len(features)
-    facts = train.agg(F.count("*").alias("n"), F.avg(target).alias("mean")).first()
-    n, mean = facts["n"], facts["mean"]
-    x = [F.col(c) for c in features]
-    y = F.col(target) - F.lit(mean)
-    sums = [F.sum(x[i] * x[j]) for i in range(p) for j in range(i, p)] + [F.sum(x[i] * y) for i in range(p)]
-    totals = np.array(list(train.agg(*[s.alias(f"s{k}") for k, s in enumerate(sums)]).first()))
-    gram = np.zeros((p, p))
-    gram[np.triu_indices(p)] = totals[: p * (p + 1) // 2]
-    gram = gram + np.triu(gram, 1).T
+    found = comoments(train, [*features, target]).first()
+    n, means = found["n"], np.array(found["mean"])
+    mean = float(means[-1])
+    product = np.array(found["product"]).reshape(len(means), len(means)) + n * np.outer(means, np.append(means[:-1], 0.0))
+    gram = product[:-1, :-1]
     values, vectors = np.linalg.eigh(gram)
     values = np.clip(values, 0.0, None)
-    moment = vectors.T @ totals[-p:]
+    moment = vectors.T @ product[:-1, -1]
     shrink = 1.0 / (values[:, None] + np.array(alphas)[None, :])
 
     @pandas_udf("array<double>")
@@ -118,11 +114,13 @@ def ridge_by_leave_one_out(train: DataFrame, test: DataFrame, features: list[str
         leverage = 1.0 / n + (u * u) @ shrink
         return pd.Series(list((error / (1.0 - leverage)) ** 2))
 
-    errors = train.select(left_out_errors(F.array(*x), y).alias("e"))
+    values_of_row = F.array(*[F.col(c).cast("double") for c in features])
+    errors = train.select(left_out_errors(values_of_row, F.col(target) - F.lit(mean)).alias("e"))
     loss = errors.agg(*[F.avg(F.get("e", F.lit(k))).alias(f"a{k}") for k in range(len(alphas))]).first()
     best = int(np.argmin(list(loss)))
     weights = vectors @ (moment * shrink[:, best])
-    prediction = sum((c * F.lit(float(w)) for c, w in zip(x, weights)), F.lit(float(mean)))
+    terms = F.zip_with(values_of_row, F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w)
+    prediction = F.aggregate(terms, F.lit(mean), lambda a, b: a + b)
     return test.withColumn("prediction", prediction), alphas[best]
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from monthpanel.operators.clean import exogenous_columns, numeric_series_columns, proxy_candidates
@@ -13,7 +10,7 @@ from monthpanel.operators.targets import default_target, validate_target
 from monthpanel.plans.lifecycle import build_dataset
 from monthpanel.plans.sheets import cell, word, workbooks, year_matrix_book
 from monthpanel.plans.views import SUPPLIER_MONTH, rounded, supplier_month, table
-from monthpanel.sources.tables import read_monthly, write_dataset, write_predictions
+from monthpanel.sources.tables import new_folder, read_monthly, write_dataset, write_predictions
 
 
 def column_choice(spark, sf_dir):
@@ -54,16 +51,9 @@ def dataset_build(spark, sf_dir):
     return rounded(build_dataset(sources, keys=["path"], target=None), trade_valor=2)
 
 
-def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder")
-    return f"{base or tempfile.mkdtemp()}/panel-{uuid.uuid4().hex}"
-
-
 def sink_round_trip(spark, sf_dir):
     """The supplier panel as CSV and as one folder for each model, read back and put together."""
-    folder, months = _folder(spark), supplier_month(spark, sf_dir)
+    folder, months = new_folder(spark, "sinks"), supplier_month(spark, sf_dir)
     write_dataset(months.select("supplier", "date", "quantity", "steady"), f"{folder}/dataset", "csv")
     write_predictions(months.select("supplier", "date", F.when(F.col("lines") > 4, "many").otherwise("few").alias("model"), "lines"), f"{folder}/models")
     dataset = read_monthly(spark, f"{folder}/dataset", "supplier long, date date, quantity double, steady double")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
@@ -43,6 +46,14 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", by: list[str]
     writer.format(fmt).save(path)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder of ``spark.checkpoint.dir``, which executors share; a local session without one gets its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
+    return f"{(base or tempfile.mkdtemp()).rstrip('/')}/panel-{name}-{uuid.uuid4().hex}"
+
+
 def stored_at(df: DataFrame, folder: str | None) -> DataFrame:
     """The frame, written to a folder of the caller and read from there if one is given."""
     if folder is None:
