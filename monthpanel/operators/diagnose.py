@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from monthpanel.functions.stats import improvement_pct, pair_corr
+from monthpanel.functions.stats import improvement_pct
 from monthpanel.operators.clean import numeric_columns
+from monthpanel.operators.lag_moments import correlations
 
 
 def trained_rows(comparison: DataFrame) -> DataFrame:
@@ -71,28 +73,21 @@ def lag_correlations(df: DataFrame, target: str, max_lag: int = 12, min_observat
 
     ``keys, feature, lag, correlation, abs_correlation, observations``. The target
     is a feature too. Pairs need both values; features without variance have no
-    row. One exchange by key and feature serves the lags and the aggregation.
+    row. One exchange by key serves all features and lags; no row is repeated for a lag
+    (:mod:`monthpanel.operators.lag_moments`).
     """
     if target not in df.columns:
         raise ValueError(f"no column {target!r} to forecast")
     columns = features or numeric_columns(df, but=["date", *keys])
     values = df.select(
         *keys, "date", F.col(target).cast("double").alias("__target"),
-        *[F.col(c).cast("double").alias(c) for c in columns],
-    ).unpivot([*keys, "date", "__target"], columns, "feature", "value")
-    by_series = Window.partitionBy(*keys, "feature").orderBy("date")
-    past = F.array(*[F.lag("value", k).over(by_series) for k in range(1, max_lag + 1)])
-    pairs = (
-        values.select(*keys, "feature", "__target", past.alias("past"))
-        .select(*keys, "feature", "__target", F.posexplode("past").alias("place", "then"))
-        .where("__target is not null and then is not null")
-    )
-    return (
-        pairs.groupBy(*keys, "feature", (F.col("place") + 1).alias("lag"))
-        .agg(pair_corr(F.col("__target"), F.col("then")).alias("correlation"), F.count("*").alias("observations"))
-        .where((F.col("observations") >= min_observations) & F.col("correlation").isNotNull())
-        .select(*keys, "feature", "lag", "correlation", F.abs("correlation").alias("abs_correlation"), "observations")
+        *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)],
     )
+    series = (values.repartition(*keys) if keys else values.coalesce(1)).sortWithinPartitions(*keys, "date")
+    own = [f for f in df.select(*keys).schema.fields]
+    made = [StructField("feature", StringType()), StructField("lag", IntegerType()), StructField("correlation", DoubleType()),
+            StructField("abs_correlation", DoubleType()), StructField("observations", LongType())]
+    return series.drop("date").mapInArrow(correlations(list(keys), columns, max_lag, max(1, min_observations)), StructType([*own, *made]))
 
 
 def top_lag_correlations(correlations: DataFrame, n: int = 10, keys: list[str] = ()) -> DataFrame:

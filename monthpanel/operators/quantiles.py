@@ -1,71 +1,92 @@
-"""Exact quantiles of groups of any size."""
+"""Exact quantiles of groups of any size, by radix selection."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Half the width of a bracket as a share of a group, and over how many tasks a group is spread.
-MARGIN, SALTS = 1 / 512, 32
+# A round fixes two digits of 8 bits of the wanted values; 64 bits take four rounds.
+DIGIT, ROUNDS = 256, 4
+_FRACTION, _LEAST_NORMAL = float(2**52), 2.0**-1022
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = ()) -> DataFrame:
-    """Linear-interpolation quantiles per key as ``keys, n, quantiles`` (an array in ``probs`` order).
+def image_of(v: Column) -> Column:
+    """A 64-bit integer that orders as the double does: the bits of its size, negative for negative values; NaN is the largest."""
+    size = F.abs(v)
+    guess = F.floor(F.log2(size))
+    low = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).otherwise(guess)
+    power = F.when(size / F.pow(F.lit(2.0), low) >= 2, low + 1).otherwise(low)
+    normal = (power + 1023) * F.lit(2**52) + ((size / F.pow(F.lit(2.0), power) - 1) * _FRACTION).cast("long")
+    bits = (
+        F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(2047 * 2**52))
+        .when(size < _LEAST_NORMAL, (size * 2.0**537 * 2.0**537).cast("long")).otherwise(normal)
+    )
+    return F.when(F.isnan(v), F.lit(2**63 - 1)).otherwise(F.when(v < 0, -bits).otherwise(bits))
 
-    The built-in exact percentile gathers a group's distinct values in one task.
-    Here equal values are counted first, approximate quantiles bracket each
-    wanted one, an exact sum finds how many values lie below and inside each
-    bracket, and only the values inside, a 256th of a group, are sorted. A
-    bracket that misses its rank is opened on that side, so the approximation
-    steers work and never the result.
 
-    A group's values meet its brackets under ``SALTS`` hashes of the value, so no
-    exchange goes by the group alone, and sums are partial before they do.
-    """
-    ids = list(keys)
-    source = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null")
-    edges = [min(max(p + m, 0.0), 1.0) for p in probs for m in (-MARGIN, MARGIN)]
-    facts = source.groupBy(*ids).agg(
-        F.count("*").alias("n"), F.percentile_approx("v", edges, int(16 / MARGIN)).alias("edges")
-    ).where("n > 0")
-    v, c = F.col("v"), F.col("c")
-    counts = source.groupBy(*ids, "v").agg(F.count("*").alias("c"))
-    values = counts.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+def value_of(image: Column) -> Column:
+    """The double of an image, exactly."""
+    bits = F.abs(image)
+    power, rest = F.shiftright(bits, 52), F.pmod(bits, F.lit(2**52)).cast("double")
+    size = (
+        F.when(power == 0, rest * 2.0**-537 * 2.0**-537).when(power == 2047, F.lit(float("inf")))
+        .otherwise((1 + rest / _FRACTION) * F.pow(F.lit(2.0), power - 1023))
+    )
+    return F.when(image == 2**63 - 1, F.lit(float("nan"))).otherwise(F.when(image < 0, -size).otherwise(size))
 
-    def salted(small: DataFrame) -> DataFrame:
-        return small.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
-    low, high = ([F.get("edges", F.lit(2 * i + side)) for i in range(len(probs))] for side in (0, 1))
-    counted = values.join(salted(facts), [*ids, "salt"]).groupBy(*ids, "n", "edges").agg(*[
-        F.struct(
-            F.sum(F.when(v < low[i], c).otherwise(0)).alias("below"), F.sum(F.when(v <= high[i], c).otherwise(0)).alias("upto")
-        ).alias(f"b{i}")
-        for i in range(len(probs))
-    ])
+def _ranks(n: Column, probs: list[float]) -> Column:
+    """The ranks, from 0, between which the quantiles lie."""
+    places = [F.lit(p) * (n - 1) for p in probs]
+    return F.array_distinct(F.array(*[f(p).cast("long") for p in places for f in (F.floor, F.ceil)]))
 
-    def bracket(i: int, p: float) -> Column:
-        place = F.lit(p) * (F.col("n") - 1)
-        first, last = F.floor(place).cast("long"), F.ceil(place).cast("long")
-        holds_low, holds_high = F.col(f"b{i}.below") <= first, last < F.col(f"b{i}.upto")
-        return F.struct(
-            F.lit(i).alias("i"), first.alias("first"), last.alias("last"), (place - F.floor(place)).alias("share"),
-            F.when(holds_low, low[i]).alias("low"), F.when(holds_high, high[i]).alias("high"),
-            F.when(holds_low, F.col(f"b{i}.below")).otherwise(F.lit(0)).alias("below"),
-        )
 
-    brackets = counted.select(*ids, "n", F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("brackets"))
-    ties = values.join(salted(brackets), [*ids, "salt"]).select(*ids, "n", "v", "c", F.explode(F.filter("brackets", lambda b: (
-        (b["low"].isNull() | (F.col("v") >= b["low"])) & (b["high"].isNull() | (F.col("v") <= b["high"]))
-    ))).alias("b"))
-    ordered = Window.partitionBy(*ids, "b.i").orderBy("v")
-    ranked = ties.withColumn("upto", F.col("b.below") + F.sum("c").over(ordered))
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = ()) -> DataFrame:
+    """Linear-interpolation quantiles per key as ``keys, n, quantiles`` (an array in ``probs`` order).
+
+    Values become 64-bit integers of the same order. A round counts the next 16 bits of the values that agree with a wanted rank so far, in
+    partial sums, and takes the rank's bucket; after four rounds the bits are the value. Nothing is sorted but the counts of a digit,
+    at most 256 rows of a group, and no exchange has more of a group than its counts. Rounds after the first
+    meet the prefixes still wanted in a join, which adaptive execution splits where a group is large.
+    """
+    ids = list(keys)
+    v = F.col(value).cast("double")
+    # Image and digits as of an unsigned integer: the sign bit flipped.
+    rows = df.where(v.isNotNull()).select(*keys, image_of(v).bitwiseXOR(F.lit(-(2**63))).alias("__u"))
+    wanted = None
+    for k in range(ROUNDS):
+        shift = 64 - 16 * (k + 1)
+        two = F.shiftrightunsigned("__u", shift).bitwiseAND(F.lit(DIGIT * DIGIT - 1))
+        if wanted is None:
+            here = rows.withColumns({"__prefix": F.lit(0).cast("long"), "__n": F.lit(0).cast("long"), "__wanted": F.array().cast("array<struct<rank:bigint,left:bigint>>")})
+        else:
+            prefix = F.shiftrightunsigned("__u", shift + 16)
+            on = [F.col(f"w.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ids] + [F.col("w.__prefix") == F.col("r.__prefix")]
+            joined = rows.withColumn("__prefix", prefix).alias("r").join(wanted.alias("w"), on)
+            here = joined.select(*[F.col(f"r.{c}").alias(c) for c in ids], "__u", F.col("w.__prefix").alias("__prefix"), "__n", "__wanted")
+        group = [*ids, "__prefix", "__n", "__wanted"]
+        counts = here.groupBy(*group, F.floor(two / DIGIT).alias("__high"), F.pmod(two, F.lit(DIGIT)).alias("__low")).agg(F.count("*").alias("c"))
+        highs = counts.groupBy(*group, "__high").agg(F.sum("c").alias("c"), F.collect_list(F.struct(F.col("__low").alias("low"), "c")).alias("lows"))
+        in_group = Window.partitionBy(*ids, "__prefix")
+        highs = highs.withColumn("before", F.sum("c").over(in_group.orderBy("__high")) - F.col("c"))
+        if wanted is None:
+            highs = highs.withColumn("__n", F.sum("c").over(in_group))
+            highs = highs.withColumn("__wanted", F.transform(_ranks(F.col("__n"), probs), lambda r: F.struct(r.alias("rank"), r.alias("left"))))
+        own = F.filter("__wanted", lambda w: (w["left"] >= F.col("before")) & (w["left"] < F.col("before") + F.col("c")))
+        chosen = highs.withColumn("__wanted", F.transform(own, lambda w: F.struct(w["rank"].alias("rank"), (w["left"] - F.col("before")).alias("left")))).where(F.size("__wanted") > 0)
+        lows = chosen.select(*ids, "__prefix", "__n", "__high", "__wanted", F.inline("lows"))
+        below = F.sum("c").over(Window.partitionBy(*ids, "__prefix", "__high").orderBy("low")) - F.col("c")
+        lows = lows.withColumn("before", below)
+        longer = F.shiftleft("__prefix", 16).bitwiseOR((F.col("__high") * DIGIT + F.col("low")).cast("long"))
+        own = F.filter("__wanted", lambda w: (w["left"] >= F.col("before")) & (w["left"] < F.col("before") + F.col("c")))
+        left = F.transform(own, lambda w: F.struct(w["rank"].alias("rank"), (w["left"] - F.col("before")).alias("left")))
+        wanted = lows.select(*ids, longer.alias("__prefix"), "__n", left.alias("__wanted")).where(F.size("__wanted") > 0)
+    found = wanted.withColumn("v", value_of(F.col("__prefix").bitwiseXOR(F.lit(-(2**63))))).select(*ids, "__n", "v", F.explode("__wanted.rank").alias("rank"))
+    by_rank = found.groupBy(*ids, "__n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
 
-    def at(rank: str) -> Column:
-        here = (F.col(f"b.{rank}") >= F.col("upto") - F.col("c")) & (F.col(f"b.{rank}") < F.col("upto"))
-        return F.max(F.when(here, F.col("v")))
+    def quantile(p: float) -> Column:
+        place = F.lit(p) * (F.col("__n") - 1)
+        first, last = (F.element_at("at", f(place).cast("long")) for f in (F.floor, F.ceil))
+        return first + (last - first) * (place - F.floor(place))
 
-    points = ranked.groupBy(*ids, "n", "b.i").agg(
-        (at("first") + (at("last") - at("first")) * F.max("b.share")).alias("q")
-    )
-    quantiles = points.groupBy(*ids, "n").agg(F.sort_array(F.collect_list(F.struct("i", "q"))).alias("qs"))
-    return quantiles.select(*keys, "n", F.transform("qs", lambda x: x["q"]).alias("quantiles"))
+    return by_rank.select(*keys, F.col("__n").alias("n"), F.array(*[quantile(p) for p in probs]).alias("quantiles"))
