@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
@@ -16,6 +16,7 @@ from monthpanel.functions.months import (
 )
 from monthpanel.functions.numbers import parse_number, to_number
 from monthpanel.functions.text import slug_name
+from monthpanel.sources.tables import new_folder, stored_at
 
 
 class MonthParseError(ValueError):
@@ -161,36 +162,65 @@ def sum_by_month(df: DataFrame, values: list[str], keys: list[str] = (), date_co
 
 
 def generic_monthly(df: DataFrame, prefix: str, include: list[str] = (), exclude: list[str] = (),
-                    keys: list[str] = ()) -> DataFrame:
+                    keys: list[str] = (), folder: str | None = None) -> DataFrame:
     """Monthly sums of the numeric columns of a table with a date or year and month columns.
 
     Columns are kept by substring of their slug and renamed ``<prefix>_<slug>``;
     columns without any number are dropped.
+
+    The table is read once: sums and counts per key and per month as each column that may date a row says it are written to
+    ``folder`` (or a new one), and which columns date the rows, which hold numbers and whether a key has any date is decided on those few rows.
     """
     table = slug_columns(drop_empty_rows(df, keys))
     include, exclude = [slug_name(w) for w in include], [slug_name(w) for w in exclude]
     columns = [c for c in table.columns if c not in keys]
     patterns = [DATE_COLUMN_PATTERNS, YEAR_COLUMN_PATTERNS, MONTH_COLUMN_PATTERNS]
-    dating = [c for c in columns if any(first_matching_column([c], p) for p in patterns)]
+    may_date, may_year, may_month = ([c for c in columns if first_matching_column([c], p)] for p in patterns)
+    dating = list(dict.fromkeys([*may_date, *may_year, *may_month]))
     wanted = [
         c for c in columns
         if (not include or any(w in c for w in include)) and not any(w in c for w in exclude)
     ]
-    # One pass counts what decides on columns: any value for dates, any number for values.
-    counts = table.agg(
-        *[F.count(F.col(c)).alias(f"any_{c}") for c in dating],
-        *[F.count(number_column(table, c)).alias(f"number_{c}") for c in wanted],
-    ).first()
-    dating = [c for c in dating if counts[f"any_{c}"] > 0]
-    date_col, year_col, month_col = (first_matching_column(dating, p) for p in patterns)
-    values = [c for c in wanted if counts[f"number_{c}"] > 0 and c not in (date_col, year_col, month_col)]
-    dated = with_month(table, year_col, month_col, date_col, keys=keys, out="__month")
+    # An unknown label of a month is kept, for the tables that turn out to need it.
+    said = {f"__date_{i}": month_start(_date_column(table, c)) for i, c in enumerate(may_date)}
+    said |= {f"__year_{i}": number_column(table, c).cast("int") for i, c in enumerate(may_year)}
+    unknown = {}
+    for i, c in enumerate(may_month):
+        label = F.col(c).cast("string")
+        number = month_of_number(F.col(c).cast("double")) if _is_numeric(table, c) else F.lit(None).cast("int")
+        number = F.coalesce(number, month_number(label))
+        said |= {f"__month_{i}": number}
+        unknown |= {f"__unknown_{i}": F.max(F.when(number.isNull(), label))}
+    facts = {f"__any_{i}": F.count(F.col(c)) for i, c in enumerate(dating)}
+    facts |= {f"__number_{i}": F.count(number_column(table, c)) for i, c in enumerate(wanted)}
+    facts |= {f"__sum_{i}": F.sum(number_column(table, c)) for i, c in enumerate(wanted)}
+    monthly = table.groupBy(*keys, *[c.alias(n) for n, c in said.items()]).agg(*[c.alias(n) for n, c in (facts | unknown).items()])
+    monthly = stored_at(monthly, folder or new_folder(df.sparkSession, "monthly"))
+
+    counts = monthly.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in facts if not n.startswith("__sum")]).first()
+    present = [c for i, c in enumerate(dating) if counts[f"__any_{i}"] > 0]
+    date_col, year_col, month_col = (first_matching_column(present, p) for p in patterns)
+    values = {i: c for i, c in enumerate(wanted) if counts[f"__number_{i}"] > 0 and c not in (date_col, year_col, month_col)}
+    missing = F.raise_error(F.lit("a month needs a date column, or a year and a month column")).cast("date")
+    by_parts = missing
+    if year_col and month_col:
+        year, at = F.col(f"__year_{may_year.index(year_col)}"), may_month.index(month_col)
+        label = F.col(f"__unknown_{at}")
+        month = F.when(label.isNotNull(), F.raise_error(F.concat(F.lit("no month: "), label)).cast("int")).otherwise(F.col(f"__month_{at}"))
+        by_parts = F.when(year.isNotNull(), month_from_parts(year, month))
+    if date_col is None and not (year_col and month_col):
+        raise MonthParseError("a month needs a date column, or a year and a month column")
     if not values:
         raise ValueError("No numeric value columns found")
-    numbers = dated.select(
-        *keys, F.col("__month").alias("date"), *[number_column(table, c).alias(f"{prefix}_{c}") for c in values]
-    )
-    return sum_by_month(numbers.where("date is not null"), [f"{prefix}_{c}" for c in values], keys)
+    dated = monthly
+    month = by_parts
+    if date_col is not None:
+        date = F.col(f"__date_{may_date.index(date_col)}")
+        any_date = F.coalesce(F.max(date.isNotNull()).over(Window.partitionBy(*keys)), F.lit(False))
+        dated = monthly.withColumn("__dated", any_date)
+        month = F.when(F.col("__dated"), date).otherwise(by_parts)
+    sums = dated.withColumn("__at", month).where("__at is not null")
+    return sums.groupBy(*keys, F.col("__at").alias("date")).agg(*[F.sum(f"__sum_{i}").alias(f"{prefix}_{c}") for i, c in values.items()])
 
 
 def trade_by_product(df: DataFrame, keys: list[str] = ()) -> DataFrame:
