@@ -2,11 +2,12 @@
 
 Spans. Both tokenizers see a space and the text (A gets it, B adds it). The character offsets of A and the byte spans of B's proto are coarse cuts; a token
 whose span hasn't as many bytes as the token (parts of a character, byte fallback) is placed by its own decoded bytes. Places where tokens of
-both end cut the text into groups; all A and B tokens of a group are linked.
+both end cut the text into groups; all A and B tokens of a group are linked. Words of letters go to A's merges at once, under the names of their bytes.
 
 Chunks. No token of either goes over a single space between two other characters (A splits there, and B has no piece with a space after
-another character; ``Pair`` checks both, else texts are taken whole). So texts are aligned chunk by chunk, and the chunks met before are remembered, two
-generations of ``REMEMBERED`` a worker. A text with a chunk that doesn't give back its bytes is aligned as a whole instead.
+another character), nor over a line end, nor over the place between a letter and a mark that no piece of B has together; ``Pair`` checks that, else texts
+are taken whole. So texts are aligned chunk by chunk, and the chunks met before are remembered, two generations of ``REMEMBERED`` a worker. A text
+with a chunk that doesn't give back its bytes is aligned as a whole instead.
 
 Counts. A document's distinct id pairs are stored with how often it links them. Counted in Spark, the pairs are a table of at most |A| x |B| rows however large the
 corpus is; sorted, it is written as arrays in the shared folder, which workers map to look up the pairs of their documents, so
@@ -21,9 +22,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 import uuid
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -35,65 +38,82 @@ from pyspark.sql import functions as F
 from monthpanel.llm.shared import new_folder, stored, table
 
 #: Chunks that a worker remembers (twice as many at most), their longest, pairs of a file of the table of counts.
-REMEMBERED, LONGEST, FILE_PAIRS = 60_000, 64, 4_000_000
+REMEMBERED, LONGEST, FILE_PAIRS = 300_000, 64, 4_000_000
 _EDGE = re.compile(r"\s\s|^\s|\s$")
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
 
 
-def _byte_alphabet() -> dict[str, int]:
+def _byte_names() -> list[str]:
     """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on in order."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b if b in printable else 256 + others.index(b)) for b in range(256)]
 
 
-@dataclass(frozen=True)
-class Aligned:
-    """Tokens of both sides, ``(tokens of A, tokens of B)`` of each group."""
+#: Tokens of A, of B, groups, their text and the links (``a * |B| + b`` as 64-bit integers) of a text.
+Aligned = tuple[int, int, int, str, bytes]
 
-    a: list[int]
-    b: list[int]
-    groups: list[tuple[int, int]]
 
-    def text(self) -> str:
-        at, out = [0, 0], []
-        for n, m in self.groups:
-            out.append(",".join(map(str, self.a[at[0] : at[0] + n])) + "|" + ",".join(map(str, self.b[at[1] : at[1] + m])))
-            at[0], at[1] = at[0] + n, at[1] + m
-        return ";".join(out)
+def refined(cuts: list[int], sizes: Iterable[int]) -> list[int]:
+    """Where each token ends: the coarse cut where it leaves the token its number of bytes, else counted in bytes."""
+    counted = list(accumulate(sizes))
+    return cuts if cuts == counted else counted
+
+
+def written(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int], base: int) -> Aligned:
+    """Cuts tokens where both sides end."""
+    texts, links, n, m = [], [], 0, 0
+    place = dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    for i, end in enumerate(a_ends, 1):
+        if end in place:
+            j = place[end]
+            if i - n == 1 and j - m == 1:
+                texts.append(f"{a[n]}|{b[m]}")
+                links.append(a[n] * base + b[m])
+            else:
+                xs, ys = a[n:i], b[m:j]
+                texts.append(f"{','.join(map(str, xs))}|{','.join(map(str, ys))}")
+                links += [x * base + y for x in xs for y in ys]
+            n, m = i, j
+    return len(a), len(b), len(texts), ";".join(texts), array("q", links).tobytes()
 
-    def links(self, base: int) -> np.ndarray:
-        """``a * base + b`` of every linked pair of occurrences."""
-        at, out = [0, 0], []
-        for n, m in self.groups:
-            out += [a * base + b for a in self.a[at[0] : at[0] + n] for b in self.b[at[1] : at[1] + m]]
-            at[0], at[1] = at[0] + n, at[1] + m
-        return np.array(out, np.int64)
 
+def joined(parts: list[Aligned]) -> Aligned:
+    a, b, groups, texts, links = zip(*parts)
+    return sum(a), sum(b), sum(groups), ";".join(texts), b"".join(links)
 
-def refined(cuts: list[int], sizes: list[int]) -> list[int]:
-    """Where each token ends: the coarse cut where it leaves the token its number of bytes, else counted in bytes."""
-    ends, at = [], 0
-    for cut, size in zip(cuts, sizes):
-        at = cut if cut - at == size else at + size
-        ends.append(at)
-    return ends
-
-
-def grouped(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """Tokens of A and of B between common ends."""
-    groups, i, j, n, m = [], 0, 0, 0, 0
-    while i < len(a_ends) and j < len(b_ends):
-        if a_ends[i] == b_ends[j]:
-            groups.append((i + 1 - n, j + 1 - m))
-            i, j = i + 1, j + 1
-            n, m = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return groups
+
+class _Remembered(dict):
+    """Chunks met before, after a space or (``bare``) not; none for those that can't be aligned."""
+
+    def __init__(self, pair: Pair, bare: bool):
+        super().__init__()
+        self.pair, self.bare, self.older = pair, bare, {}
+
+    def __missing__(self, text: str) -> Aligned | None:
+        found = self.older.get(text)
+        if found is None:
+            found = self._made(text)
+        if found and len(text) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[text] = found
+        return found
+
+    def _made(self, text: str) -> Aligned | None:
+        pair = self.pair
+        if not self.bare and text.isalpha():
+            return pair.align_word(text)
+        at = pair.cut(text)
+        if not at:
+            return pair.bare_chunk(text) if self.bare else pair.align(text)
+        line = text[at] == "\n"
+        parts = [self[text[:at]], *([pair.line] if line else []), pair.bare[text[at + line :]]]
+        if None in parts:
+            return None if self.bare else pair.align(text)
+        return joined(parts)
 
 
 class Pair:
@@ -105,57 +125,85 @@ class Pair:
 
         self.a, self.b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
         self.a.encode_special_tokens = True
-        alphabet = _byte_alphabet()
-        self.a_bytes = {i: bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode() for token, i in self.a.get_vocab().items()}
+        names = _byte_names()
+        alphabet = {c: b for b, c in enumerate(names)}
+        self.names = {b: ord(c) for b, c in enumerate(names)}
+        vocabulary = self.a.get_vocab()
+        self.a_bytes = {i: bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode() for token, i in vocabulary.items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.base = len(pieces)
+        # A's merges can spell every text: they know all bytes.
         plain = self.a.normalizer is None and "ByteLevel" in str(self.a.pre_tokenizer) and "use_regex=True" in str(self.a.pre_tokenizer)
-        self.chunked = plain and not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
-        self.newer: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.chunked = plain and set(names) <= set(vocabulary) and not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
+        # A mark after a letter, and a line end between two characters, begin a token of A; where B has no piece with both, of B too.
+        after_letters = {p[k + 1] for p in pieces for k in range(len(p) - 1) if p[k].isalpha()}
+        marks = [c for c in string.punctuation if c != "'" and c not in after_letters]
+        self.cuts = re.compile(rf"(?<=\S)(?:[{re.escape(''.join(marks))}]|\n(?=\S))")
+        self.chunked = self.chunked and bool(marks) and not any("\n" in p for p in pieces)
+        self.spaced, self.bare = _Remembered(self, False), _Remembered(self, True)
+        # A space and a line end are tokens by themselves before another character.
+        known, self.line, self.before = self.align("\nx"), None, ""
+        if known and known[:3] == (3, 3, 3):
+            space, line, _ = known[3].split(";")
+            self.line, self.before = (1, 1, 1, line, known[4][8:16]), f"{space};{line};"
+        self.chunked = self.chunked and self.line is not None
+
+    def cut(self, text: str) -> int:
+        """Where a chunk can be cut in two, or 0."""
+        for found in self.cuts.finditer(text):
+            at = found.start()
+            if text[at] == "\n" or text[at - 1].isalpha():
+                return at
+        return 0
+
+    def bare_chunk(self, text: str) -> Aligned | None:
+        """Alignment of a text that follows a line end: that of the line end and the text, less the space and the line end."""
+        made = self.align("\n" + text)
+        if not made or not made[3].startswith(self.before):
+            return None
+        return made[0] - 2, made[1] - 2, made[2] - 2, made[3].removeprefix(self.before), made[4][16:]
+
+    def align_word(self, word: str) -> Aligned | None:
+        """As :meth:`align`, of letters: one word of A, whose merges get it under the names of its bytes."""
+        wanted = b" " + word.encode()
+        tokens = self.a.model.tokenize(wanted.decode("latin-1").translate(self.names))
+        pieces = self.b.encode(word, return_type="proto").pieces
+        b = [p.id for p in pieces]
+        b_bytes = [self.b_bytes[i] for i in b]
+        if b"".join(b_bytes) != wanted:
+            return None
+        # The name of the space has two bytes, so cuts are one too far behind it; other bytes may have such names too and are counted.
+        a, a_cuts, b_cuts = [t.id for t in tokens], [t.offsets[1] - 1 for t in tokens], [p.end + 1 for p in pieces]
+        if not word.isascii():
+            a_cuts, b_cuts = refined(a_cuts, [len(self.a_bytes[i]) for i in a]), refined(b_cuts, map(len, b_bytes))
+        return written(a, a_cuts, b, b_cuts, self.base)
 
     def align(self, text: str) -> Aligned | None:
         """Alignment of a space and ``text``; none where the tokens' bytes are others."""
-        whole = " " + text
-        wanted = whole.encode()
-        encoded = self.a.encode(whole, add_special_tokens=False)
-        a = encoded.ids
-        pieces = self.b.encode(text, return_type="proto").pieces
-        b = [p.id for p in pieces]
+        wanted = b" " + text.encode()
+        encoded = self.a.encode(" " + text, add_special_tokens=False)
+        a, cuts = encoded.ids, [end for _, end in encoded.offsets]
+        if len(wanted) > len(text) + 1:  # characters to bytes
+            places = list(accumulate(map(len, map(str.encode, " " + text)), initial=0))
+            cuts = [places[end] for end in cuts]
+        spans = [(p.id, p.end + 1) for p in self.b.encode(text, return_type="proto").pieces]
+        b = [i for i, _ in spans]
         a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(a_bytes) != wanted or b"".join(b_bytes) != wanted:
             return None
-        cuts = [end for _, end in encoded.offsets]
-        if len(wanted) != len(whole):  # characters to bytes
-            places = [0, *np.cumsum([len(c.encode()) for c in whole]).tolist()]
-            cuts = [places[end] for end in cuts]
-        return Aligned(a, b, grouped(refined(cuts, list(map(len, a_bytes))), refined([p.end + 1 for p in pieces], list(map(len, b_bytes)))))
-
-    def chunk(self, text: str) -> tuple[int, int, int, str, bytes] | None:
-        """Tokens of A, of B, groups, their text and links of a chunk; none where it can't be aligned."""
-        found = self.newer.get(text)
-        if found is None:
-            found = self.older.get(text)
-            if found is None:
-                made = self.align(text)
-                found = made and (len(made.a), len(made.b), len(made.groups), made.text(), made.links(self.base).tobytes())
-            if found and len(text) <= LONGEST:
-                if len(self.newer) >= REMEMBERED:
-                    self.older, self.newer = self.newer, {}
-                self.newer[text] = found
-        return found
+        return written(a, refined(cuts, map(len, a_bytes)), b, refined([end for _, end in spans], map(len, b_bytes)), self.base)
 
     def document(self, text: str | None) -> tuple[int, int, int, str, np.ndarray]:
-        """The same of a whole text; zeros where it has no tokens."""
+        """The alignment of a whole text; zeros where it has no tokens."""
         if text:
             parts = [text] if not self.chunked else text.split(" ") if not _EDGE.search(text) else _SINGLE.split(text)
-            found = list(map(self.chunk, parts))
+            found = list(map(self.spaced.__getitem__, parts)) if self.chunked else [self.align(text)]
             if len(parts) > 1 and None in found:
-                found = [self.chunk(text)]
+                found = [self.align(text)]
             if None not in found:
-                a, b, groups, texts, links = zip(*found)
-                return sum(a), sum(b), sum(groups), ";".join(texts), np.frombuffer(b"".join(links), np.int64)
+                a, b, groups, texts, links = joined(found)
+                return a, b, groups, texts, np.frombuffer(links, np.int64)
         return 0, 0, 0, "", np.zeros(0, np.int64)
 
 
