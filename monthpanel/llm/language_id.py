@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthpanel.llm.batches import bytes_of
-from monthpanel.llm.shared import id_remainder, stored, table
+from monthpanel.llm.shared import free_names, id_remainder, stored, table
 
 DOCS, LEAST, SHARE, MAX_BITS, SLICE = 3000, 3, 0.2, 22, 1 << 20
 #: Factors of the two slot hashes: odd and below 2 ** 31, so that a product with an n-gram fits 63 bits.
@@ -157,10 +157,11 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     found = F.arrow_udf(scorer(filters), "best int, share double")(F.coalesce(F.col(text_col), F.lit("")))
     names = F.array(*[F.lit(x) for x in filters.languages])
-    return docs.withColumn("_found", found).withColumns({
-        "lang_pred": F.when(letters, F.get(names, F.col("_found.best"))).otherwise("und"),
-        "score": F.when(letters, F.col("_found.share")).otherwise(0.0),
-    }).drop("_found")
+    (both,) = free_names(docs, "found")
+    return docs.withColumn(both, found).withColumns({
+        "lang_pred": F.when(letters, F.get(names, F.col(f"`{both}`.best"))).otherwise("und"),
+        "score": F.when(letters, F.col(f"`{both}`.share")).otherwise(0.0),
+    }).drop(both)
 
 
 def op3_language_id(spark, sf_dir):

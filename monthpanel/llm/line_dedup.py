@@ -9,7 +9,7 @@ repeated lines is stored before.
 
 Nulls: a null text is one empty line. Null ids are one more document, smaller than every other. Rows that repeat an id
 are one document for the counts, and each keeps its row. An empty table gives no rows. Extra columns are ignored by
-``repeated_lines`` and kept by ``drop_lines``; its own columns replace those of the same name.
+``repeated_lines`` and kept by ``drop_lines``, whatever their names; only ``n_lines`` and ``n_dropped`` replace those of the same name.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthpanel.llm.shared import BLANKS, lower_ascii, stored, table
+from monthpanel.llm.shared import BLANKS, free_names, lower_ascii, stored, table
 
 MIN_CHARS, MIN_DOCS = 20, 3
 
@@ -45,18 +45,20 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Every row with its text less the repeated lines, and ``n_lines`` and ``n_dropped``."""
     repeated = stored(repeated_lines(docs, id_col, text_col, min_chars, min_docs).drop("docs"), "lines")
     gone = _lines(docs, id_col, text_col, min_chars).join(repeated, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
-    gone = gone.groupBy("id", "body").agg(F.collect_set("pos").alias("gone")).withColumnsRenamed({"id": "_id", "body": "_body"})
+    names = free_names(docs, "gone_id", "gone_body", "gone_lines", "all_lines")
+    of, body, dropped, lines = names
+    gone = gone.groupBy("id", "body").agg(F.collect_set("pos").alias(dropped)).withColumnsRenamed({"id": of, "body": body})
     text = F.coalesce(F.col(text_col), F.lit(""))
     joined = docs.drop("n_lines", "n_dropped").join(
-        gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_body")), "left"
-    ).withColumn("_lines", F.split(text, "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n")
+        gone, F.col(id_col).eqNullSafe(F.col(of)) & (F.xxhash64(text) == F.col(body)), "left"
+    ).withColumn(lines, F.split(text, "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(dropped))
+    kept = F.array_join(F.transform(left, lambda i: F.get(F.col(lines), i)), "\n")
     return joined.withColumns({
-        text_col: F.when(F.col("gone").isNull(), text).otherwise(kept),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
-    }).drop("_id", "_body", "gone", "_lines")
+        text_col: F.when(F.col(dropped).isNull(), text).otherwise(kept),
+        "n_lines": F.size(lines).cast("long"),
+        "n_dropped": F.coalesce(F.size(dropped), F.lit(0)).cast("long"),
+    }).drop(*names)
 
 
 def op8_line_dedup(spark, sf_dir):

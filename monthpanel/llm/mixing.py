@@ -10,7 +10,7 @@ Only the rates, one row per source, are joined; the plan broadcasts them when th
 hot source otherwise.
 
 Nulls: null sources are one source; a null id draws by its text. Rows that repeat an id draw the same number. Sources that
-``weights`` doesn't name have weight 0. An empty table gives no rows. Columns of the input stay; ``copy``,
+``weights`` doesn't name have weight 0. An empty table gives no rows. Columns of the input stay, whatever their names; only ``copy``,
 ``n_copies`` and ``shuffle_key`` replace those of the same name.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthpanel.llm.shared import stored, table
+from monthpanel.llm.shared import free_names, stored, table
 
 SEED, ALPHA, STEP = 17, 0.5, 16
 
@@ -47,8 +47,10 @@ def replicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
               weights: dict[str, float] | None = None, alpha: float = ALPHA, total: int | None = None,
               seed: int = SEED) -> DataFrame:
     """Each document as often as it draws, in shuffled order."""
+    names = free_names(docs, "drawn_source", "draws", "cdf", "own")
+    of, draws, cdf, own = names
     drawn = rates(docs, source_col, weights, alpha, total).select(
-        F.col("source").alias("_source"), F.greatest(F.lit(1), F.ceil(F.col("rate") / STEP)).cast("int").alias("_draws"),
+        F.col("source").alias(of), F.greatest(F.lit(1), F.ceil(F.col("rate") / STEP)).cast("int").alias(draws),
         (F.col("rate") / F.greatest(F.lit(1), F.ceil(F.col("rate") / STEP))).alias("_mean"),
     )
     # Cumulative probabilities of 0, 1, 2 ... copies; beyond the last one no double below 1 is left.
@@ -58,21 +60,18 @@ def replicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         " (a, k) -> named_struct('term', a.term * _mean / k, 'total', a.total + a.term * _mean / k,"
         " 'cdf', concat(a.cdf, array(a.total + a.term * _mean / k))), a -> a.cdf)"
     )
-    drawn = drawn.withColumn("_cdf", terms)
-    own = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = docs.drop("copy", "n_copies", "shuffle_key").withColumn("_own", own).join(
-        drawn, F.col(source_col).eqNullSafe(F.col("_source"))
-    )
-    number = F.aggregate(
-        F.sequence(F.lit(1), F.col("_draws")), F.lit(0),
-        lambda sum_, draw: sum_ + F.size(F.filter(
-            "_cdf", lambda p: p <= _uniform(F.concat_ws("|", F.lit(seed), F.col("_own"), draw)))),
+    drawn = drawn.withColumn(cdf, terms).drop("_mean")
+    seeded = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = docs.drop("copy", "n_copies", "shuffle_key").withColumn(own, seeded).join(
+        drawn, F.col(source_col).eqNullSafe(F.col(of))
     )
+    uniforms = F.transform(F.sequence(F.lit(1), F.col(draws)), lambda draw: _uniform(F.concat_ws("|", F.lit(seed), F.col(own), draw)))
+    number = F.aggregate(uniforms, F.lit(0), lambda sum_, u: sum_ + F.size(F.filter(cdf, lambda p: p <= u)))
     copies = joined.withColumn("n_copies", number).where("n_copies > 0").withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col("n_copies")))
     )
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.col("_own"), F.col("copy"))))
-    return keyed.drop("_own", "_source", "_draws", "_mean", "_cdf").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.col(own), F.col("copy"))))
+    return keyed.drop(*names).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 def op9_source_mix(spark, sf_dir):

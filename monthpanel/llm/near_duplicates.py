@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from monthpanel.llm.batches import bytes_of, word_hashes
 from monthpanel.llm.components import components
-from monthpanel.llm.shared import stored, table
+from monthpanel.llm.shared import free_names, stored, table
 
 SHINGLE, PERCENT, BANDS, ROWS, BATCH, MISS, BLOCK = 5, 80, 30, 4, 24, 1e-7, 192
 _SIZE = BANDS * ROWS
@@ -224,8 +224,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows that aren't near-duplicates of one with a smaller id; of rows that repeat an id all stay or go."""
     found = near_duplicates(docs, id_col, text_col, size, percent)
-    gone = found.groupBy(F.col(id_col).alias("_gone")).agg(F.bool_or("kept").alias("any")).where("NOT any").select("_gone")
-    return docs.join(stored(gone, "gone").hint("merge"), F.col(id_col) == F.col("_gone"), "left_anti")
+    (name,) = free_names(docs, "gone")
+    gone = found.groupBy(F.col(id_col).alias(name)).agg(F.bool_or("kept").alias("is_kept")).where("NOT is_kept").select(name)
+    return docs.join(stored(gone, "gone").hint("merge"), F.col(id_col) == F.col(name), "left_anti")
 
 
 def op6_near_duplicates(spark, sf_dir):

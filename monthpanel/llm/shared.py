@@ -44,6 +44,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until ``df`` has no such column: for columns that come and go beside the caller's."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, other letters left; the fast way for texts of one byte per character."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthpanel.llm.batches import bytes_of
-from monthpanel.llm.shared import table
+from monthpanel.llm.shared import free_names, table
 
 #: Host rules of the filter, fixed values.
 HOST_RULES = (
@@ -115,14 +115,15 @@ def judge_urls(df: DataFrame, url_col: str = "url", host_rules=HOST_RULES, block
     host_rules, globs = list(host_rules), list(block_globs)
     best = best_rule([rule for rule, _ in host_rules], globs)
     parts = df.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
-    judged = parts.withColumn("_best", best(F.concat(F.lit("."), "host", "path")))
+    found = free_names(parts, "best")[0]
+    judged = parts.withColumn(found, best(F.concat(F.lit("."), "host", "path")))
     verdicts = [v for _, v in host_rules] + ["block"] * len(globs)
     rule, verdict = F.lit(None).cast("string"), F.lit("allow")
     for k, v in enumerate(verdicts):
-        verdict = F.when(F.col("_best") == k, F.lit(v)).otherwise(verdict)
+        verdict = F.when(F.col(found) == k, F.lit(v)).otherwise(verdict)
         if k < len(host_rules):
-            rule = F.when(F.col("_best") == k, F.lit(host_rules[k][0])).otherwise(rule)
-    return judged.withColumns({"rule": rule, "verdict": verdict}).drop("_best")
+            rule = F.when(F.col(found) == k, F.lit(host_rules[k][0])).otherwise(rule)
+    return judged.withColumns({"rule": rule, "verdict": verdict}).drop(found)
 
 
 def op4_url_filter(spark, sf_dir):
