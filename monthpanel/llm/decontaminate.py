@@ -4,14 +4,18 @@ A passage is shared where a window of ``SPAN`` words of the item stands at a win
 ``AROUND`` before to ``AROUND`` after it (cut at the item's ends), at least ``SIMILARITY`` stand at the same place in the document: 13 of 16
 words inside an item, 10 of 12 at its ends. None is missed: a seed says which positions count, the others may hold any word, and in any
 such 8 to 16 words one of ``SEEDS`` lies on equal words only (the tests try all placements). So the hits of the seeds' hashes, benchmark with
-documents, are all candidates, and each is verified on every window whose words include the seed. Under a similarity of 0.8 some are missed.
+documents, are all candidates, and each is verified on every window whose words include the seed. A lower similarity would miss some and is refused.
+
+Items of fewer than ``SPAN`` words are found word for word: the hash of the whole item meets the hashes of as many words at every place of the
+documents, and the words themselves are compared. Items of fewer than ``SHORT`` words are parts of clean texts too, so they are found only in documents
+that have no other words.
 
 The benchmark's seeds are stored, counted and joined in blocks of about ``BLOCK`` rows; each block is broadcast, a bound
 of some 60 MB, and hits are verified where they are found, so no text is shuffled and a passage that a third of the
 documents hold costs its hits only. A benchmark beyond the bound takes more blocks, each one scan.
 
-Nulls and items or documents under the span (8 words) have no windows and are never hit. Rows that repeat an id are one
-document or item. Empty tables give no rows. Extra columns are ignored by ``overlaps`` and kept by ``decontaminate``.
+Nulls and texts without words have no windows and are never hit. Rows that repeat an id are one
+document or item. Empty tables give no rows. Extra columns are ignored by ``overlaps`` and kept by ``decontaminate``, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,13 +25,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthpanel.llm.shared import stored, table, words_of
+from monthpanel.llm.shared import free_names, stored, table, words_of
 
-#: Masks of the SQL's windows, which forgive fewer placements of other words than ``SEEDS``.
-MASKS = ("11011011", "11110011")
-SPAN, AROUND, SIMILARITY, BLOCK = 8, 4, 0.8, 250_000
+SPAN, AROUND, SIMILARITY, SHORT, BLOCK = 8, 4, 0.8, 3, 250_000
 #: Positions with 1 are compared. Of 8 to 16 words of which 80 % are equal, one of these lies on equal words somewhere.
-SEEDS = ("1111", "111011")
+SEEDS = ("11101", "1100111")
 #: The windows that include a seed, with the words around them, reach from ``BEFORE`` words before its first word; ``REACH`` words in all.
 BEFORE = SPAN + AROUND
 REACH = BEFORE + SPAN + 2 * AROUND
@@ -55,14 +57,40 @@ def _bits(flags: Column) -> Column:
     return F.coalesce(F.aggregate(flags, F.lit(0), lambda bits, flag: bits * 2 + F.when(flag, 1).otherwise(0)), F.lit(0))
 
 
+def _whole_items(texts: DataFrame, items: DataFrame, block: int) -> list[DataFrame]:
+    """Columns ``doc, item, same, of`` of the items under ``SPAN`` words that stand in a document word for word, a frame for each block and length."""
+    short = items.where(F.size("words").between(1, SPAN - 1)).select(
+        F.size("words").alias("n"), F.col("words").alias("wanted"), "item", F.xxhash64("words").alias("h")
+    )
+    short = stored(short.distinct(), "short-items")
+    sizes = sorted((r.n, r["count"]) for r in short.groupBy("n").count().collect())
+    found = []
+    for n, count in sizes:
+        blocks = -(-count // block)
+        if n < SHORT:
+            places = texts.where(F.size("words") == n).withColumn("around", F.col("words"))
+        else:
+            starts = F.explode(F.sequence(F.lit(1), F.size("words") - (n - 1)))
+            places = texts.where(F.size("words") >= n).select("doc", "words", starts.alias("at")).withColumn("around", F.slice("words", F.col("at"), n))
+        places = places.select("doc", "around", F.xxhash64("around").alias("h"))
+        for b in range(blocks):
+            own = F.broadcast(short.where((F.col("n") == n) & (F.pmod("h", F.lit(blocks)) == b)))
+            hits = places.join(own, "h").where(F.col("around") == F.col("wanted"))
+            found.append(hits.select("doc", "item", F.lit(n).alias("same"), F.lit(n).alias("of")))
+    return found
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
              similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """Pairs ``doc, item`` that share a passage, with the most words matched in one place and the best share of them."""
+    if similarity < SIMILARITY:
+        raise ValueError(f"the seeds find passages with a similarity of {SIMILARITY} or more")
     items = benchmark.select(F.col(item_col).alias("item"), words_of(F.lower(text_col)).alias("words"))
     wanted = F.slice("wide", F.col("at") + 1, REACH).alias("wanted")
     seeds = stored(_seeded(items, "item").select("h", "item", wanted).distinct(), "seeds")
     blocks = max(1, -(-seeds.count() // block))
-    places = _seeded(docs.select(F.col(id_col).alias("doc"), words_of(F.lower(text_col)).alias("words")), "doc")
+    texts = docs.select(F.col(id_col).alias("doc"), words_of(F.lower(text_col)).alias("words"))
+    places = _seeded(texts, "doc")
     # A window begins at word ``r`` of the REACH words. All conditions name it: one that doesn't would go into the join and end its compiled loop.
     starts = F.array(*[F.lit(r) for r in range(AROUND, REACH - SPAN - AROUND + 1)])
     wide, window = SPAN + 2 * AROUND, f"{(1 << SPAN) - 1}"
@@ -79,7 +107,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         .select("doc", "item", same.alias("same"), of.alias("of")).where(F.col("same") >= F.lit(similarity) * F.col("of"))
         for b in range(blocks)
     ]
-    return reduce(DataFrame.unionAll, found).groupBy("doc", "item").agg(
+    return reduce(DataFrame.unionAll, [*found, *_whole_items(texts, items, block)]).groupBy("doc", "item").agg(
         F.max("same").cast("long").alias("matched"), F.max(F.col("same") / F.col("of")).alias("similarity")
     )
 
@@ -87,8 +115,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id") -> DataFrame:
     """The rows of documents that share no passage with the benchmark; rows with a null id are never hit."""
-    hit = stored(overlaps(docs, benchmark, id_col, text_col, item_col).select("doc").distinct(), "leaks")
-    return docs.join(hit, F.col(id_col) == F.col("doc"), "left_anti")
+    (name,) = free_names(docs, "hit")
+    hit = stored(overlaps(docs, benchmark, id_col, text_col, item_col).select(F.col("doc").alias(name)).distinct(), "leaks")
+    return docs.join(hit, F.col(id_col) == F.col(name), "left_anti")
 
 
 def op5_decontamination(spark, sf_dir):
@@ -100,27 +129,28 @@ _CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = f"string_split_regex(trim(lower(text), {_CHARS}), '[\\x20\\x09-\\x0D]+')"
 
 
-def _masked(mask: str) -> str:
-    return " || ' ' || ".join(f"w[i + {k}]" for k, x in enumerate(mask) if x == "1")
-
-
-_BOTH = " UNION ALL ".join(
-    f"SELECT id, i, '{m}' || {_masked(mask)} AS h FROM (SELECT id, w, unnest(range(1, len(w) - 6)) AS i FROM {{words}})" for m, mask in enumerate(MASKS)
-)
+# Any 80 % of 8 to 16 words have three in a row, so places where three words in a row are equal lead to all passages; each is then compared word by word.
 PAIRS_SQL = f"""doc_words AS (SELECT doc_id AS id, {_WORDS} AS w FROM {{docs}}),
 item_words AS (SELECT item_id AS id, {_WORDS} AS w FROM benchmark),
-doc_windows AS ({_BOTH.format(words="doc_words")}),
-item_windows AS ({_BOTH.format(words="item_words")}),
-hits AS (
-  SELECT DISTINCT d.id AS doc_id, t.id AS item_id, d.i AS doc_at, t.i AS item_at
-  FROM doc_windows d JOIN item_windows t USING (h)),
+doc_runs AS (SELECT id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS run FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM doc_words WHERE len(w) >= 8)),
+item_runs AS (SELECT id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS run FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM item_words WHERE len(w) >= 8)),
+shifts AS (
+  SELECT DISTINCT d.id AS doc_id, t.id AS item_id, d.i - t.i AS shift FROM doc_runs d JOIN item_runs t USING (run)),
+flags AS (
+  SELECT doc_id, item_id, shift, len(t.w) AS n, len(d.w) AS m,
+         list_transform(range(1, len(t.w) + 1), lambda k: CASE WHEN k + shift >= 1 AND k + shift <= len(d.w) AND d.w[k + shift] = t.w[k] THEN 1 ELSE 0 END) AS same
+  FROM shifts JOIN doc_words d ON d.id = doc_id JOIN item_words t ON t.id = item_id),
+windows AS (
+  SELECT *, greatest(1, place - 4) AS low, least(n, place + 11) AS high
+  FROM (SELECT *, unnest(range(1, n - 6)) AS place FROM flags) WHERE place + shift >= 1 AND place + shift + 7 <= m),
 verified AS (
-  SELECT doc_id, item_id, least(len(t.w), item_at + 11) - greatest(1, item_at - 4) + 1 AS of,
-         len(list_filter(range(greatest(1, item_at - 4), least(len(t.w), item_at + 11) + 1),
-             lambda k: k - item_at + doc_at >= 1 AND k - item_at + doc_at <= len(d.w) AND d.w[k - item_at + doc_at] = t.w[k])) AS same
-  FROM hits JOIN doc_words d ON d.id = doc_id JOIN item_words t ON t.id = item_id),
+  SELECT doc_id, item_id, list_sum(same[low:high]) AS same, high - low + 1 AS of FROM windows
+  UNION ALL
+  SELECT d.id, t.id, len(t.w), len(t.w) FROM item_words t JOIN doc_words d ON CASE
+    WHEN len(t.w) BETWEEN 3 AND 7 THEN contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(t.w, ' ') || ' ')
+    ELSE len(t.w) < 3 AND t.w <> [''] AND d.w = t.w END),
 pairs AS (
-  SELECT doc_id, item_id, max(same) AS matched, round(max(same / of), 9) AS similarity
+  SELECT doc_id, item_id, max(same)::BIGINT AS matched, round(max(same / of), 9) AS similarity
   FROM verified WHERE same >= 0.8 * of GROUP BY doc_id, item_id)"""
 SQL = f"WITH {PAIRS_SQL.format(docs='documents')}\nSELECT * FROM pairs"
 
