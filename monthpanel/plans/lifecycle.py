@@ -12,6 +12,7 @@ from monthpanel.operators.blocks import activity_series
 from monthpanel.operators.clean import keep_rows_with_target, trade_by_product
 from monthpanel.operators.diagnose import improvements, lag_correlations
 from monthpanel.operators.features import composite_target, supervised_strict
+from monthpanel.operators.fit_keys import keyed_contest
 from monthpanel.operators.learn import lagged_contest
 from monthpanel.operators.panel import merge_monthly, strict_panel
 from monthpanel.operators.reshape import construction_records, material_index, two_row_header, year_matrix_cells
@@ -114,18 +115,24 @@ def build_panel(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
 
 def forecast_contest(panel: DataFrame, target: str | None = None, test_size: int = 12, keys: list[str] = (),
                      exogenous: list[str] | None = None, models: list[str] | None = None,
-                     folder: str | None = None) -> dict[str, DataFrame]:
+                     folder: str | None = None, per_key: bool = False, features: list[str] | None = None,
+                     options: dict[str, dict] | None = None) -> dict[str, DataFrame]:
     """Baselines and lagged regressions on one target, their comparison and lag correlations.
 
-    With a ``folder`` the supervised frame is stored there for the fits.
+    With ``per_key`` every key has models of its own (:func:`keyed_contest`, whose ``options`` these are), else one model serves all keys. ``features``
+    chooses some of the supervised frame. With a ``folder`` the supervised frame is stored there for the fits.
     """
     target = target or default_target(panel, keys)
     validate_target(panel, target, keys=keys)
     forecasts = baseline_forecasts(panel, target, test_size, keys)
     baselines = compare_models(forecasts, keys)
     frame = supervised_strict(panel, target, exogenous=exogenous, keys=keys)
-    features = [c for c in frame.columns if c not in ("date", "__target__", *keys)]
-    comparison, predictions = lagged_contest(frame, target, features, test_size, keys, models, folder=folder)
+    features = features or [c for c in frame.columns if c not in ("date", "__target__", *keys)]
+    if per_key:
+        chosen = models or ["ridge_lagged", "elasticnet_lagged", "random_forest", "gradient_boosting"]
+        comparison, predictions = keyed_contest(frame, target, features, test_size, keys, chosen, panel=panel, options=options, folder=folder)
+    else:
+        comparison, predictions = lagged_contest(frame, target, features, test_size, keys, models, folder=folder)
     return {
         "baselines": baselines,
         "comparison": comparison,

@@ -11,7 +11,8 @@ from monthpanel.operators.quality import (
 from monthpanel.operators.targets import available_targets, label_columns
 from monthpanel.plans.sheets import csv_files, numbered_book
 from monthpanel.plans.views import SUPPLIER_MONTH, rounded, supplier_month, supplier_spine_sql, table
-from monthpanel.sources.profile import candidate_listing, profile_sheets, sniff_delimiters
+from monthpanel.sources.profile import candidate_listing, profile_folder, profile_sheets, sniff_delimiters
+from monthpanel.sources.tables import new_folder
 
 KEYS = ["supplier"]
 DESCRIBED = {"mean": 5, "std": 3, "q25": 4, "q50": 4, "q75": 4}
@@ -71,6 +72,14 @@ def delimiter_sniff(spark, sf_dir):
     return candidate_listing(sniff_delimiters(files))
 
 
+def folder_profile(spark, sf_dir):
+    """The suppliers' text files, written to folders and profiled from there."""
+    folder = new_folder(spark, "files")
+    csv_files(supplier_month(spark, sf_dir)).withColumnRenamed("path", "of").write.partitionBy("of").text(folder)
+    found = candidate_listing(profile_folder(spark, folder, recursive=True))
+    return found.withColumn("path", F.regexp_extract("path", "of=([^/]*)/", 1))
+
+
 def _describe_sql(source, key, value):
     return f"""
 SELECT {key}, count({value}) AS count, round(avg({value}), 5) AS mean, round(stddev_samp({value}), 3) AS std,
@@ -187,3 +196,9 @@ SELECT path, delimiter, CAST(rows AS BIGINT) AS rows, columns, array_to_string(n
 FROM tables WHERE columns >= 2 AND (len(dates) > 0 OR len(numbers) >= 2)
 QUALIFY row_number() OVER (PARTITION BY path ORDER BY attempt) = 1"""),
 }
+
+# The same rules for the suppliers' files alone, in the columns of a folder's profile.
+QUERIES["folder_profile"] = (folder_profile, QUERIES["delimiter_sniff"][1].replace(
+    "SELECT 'doc-' || doc_id AS path, text FROM documents UNION ALL\n  SELECT 'sup-' || supplier,", "SELECT 'sup-' || supplier AS path,"
+).replace("'~', [';', chr(9), '|'][supplier % 3 + 1])", "'~', [';', chr(9), '|'][supplier % 3 + 1]) AS text").replace(
+    "SELECT path, delimiter, CAST(rows", "SELECT path, 'csv' AS sheet, 0 AS header_row, CAST(rows"))

@@ -7,14 +7,14 @@ from monthpanel.operators.features import add_lags, add_rolling
 from monthpanel.operators.panel import month_spine
 from monthpanel.plans import (
     queries_choice, queries_clean, queries_features, queries_forecast, queries_learn, queries_long, queries_panel, queries_quality,
-    queries_reshape,
+    queries_reshape, queries_store,
 )
 from monthpanel.plans.views import nation_month
 
 ALL = {
     **queries_panel.QUERIES, **queries_clean.QUERIES, **queries_features.QUERIES, **queries_forecast.QUERIES,
     **queries_reshape.QUERIES, **queries_quality.QUERIES, **queries_learn.QUERIES,
-    **queries_choice.QUERIES, **queries_long.QUERIES,
+    **queries_choice.QUERIES, **queries_long.QUERIES, **queries_store.QUERIES,
 }
 
 

@@ -14,6 +14,8 @@ from monthpanel.functions.text import contains_any, slug
 from monthpanel.sources.cells import CELL_SCHEMA, SHEET, cell_label, cell_number
 
 SAMPLE_ROWS = 80
+# Characters of a text file that are looked at: its leading lines of that many at most, the first line whole.
+LEADING = 1 << 20
 # Stand-ins for delimiters and line ends inside quoted fields.
 COVERED = "".join(DELIMITERS) + "\n"
 COVERS = "".join(chr(1 + i) for i in range(len(COVERED)))
@@ -107,12 +109,12 @@ def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
     its closing quote; other quotes are plain text. Lines of blanks are skipped.
     Where the first data line has more fields than the header, its leading fields
     are an index and the header names the rest; a line with still more fields
-    rules the delimiter out. ``sample_rows=None`` reads all lines. Fields are
+    rules the delimiter out. Of a text its first ``LEADING`` characters are looked at; ``sample_rows=None`` reads all lines. Fields are
     counted per file and column map-side, so a shuffle carries one row per column
     of each attempt.
     """
     marks = [F.struct(F.lit(i).alias("attempt"), F.lit(m).alias("mark")) for i, m in enumerate(DELIMITERS)]
-    whole = F.concat(F.lit("\n"), F.regexp_replace(F.col(text), "\r\n?", "\n"))
+    whole = F.concat(F.lit("\n"), F.regexp_replace(leading_lines(F.col(text)) if sample_rows is not None else F.col(text), "\r\n?", "\n"))
     head = F.substring_index(F.ltrim("text", F.lit("\n")), "\n", 1)
     # The header must hold the delimiter; a quoted field may carry it past the first line end.
     tried = (
@@ -154,10 +156,31 @@ def sniff_delimiters(files: DataFrame, path: str = "path", text: str = "text",
     return accepted.groupBy("path").agg(best.alias("best")).select("path", "best.*")
 
 
-def read_text_files(spark: SparkSession, glob: str) -> DataFrame:
-    """Whole text files of a folder, hidden ones left out: ``path, text``."""
-    files = spark.read.text(glob, wholetext=True)
-    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+def read_text_files(spark: SparkSession, glob: str, leading: int = LEADING, **options) -> DataFrame:
+    """The leading lines of text files, hidden ones left out: ``path, text``.
+
+    Files are read by line, split as any scan is; only the splits that may hold the first ``leading`` characters take part, and of each at most as many lines.
+    So no task holds more of a file than that, and a line end inside a quoted field is a line end like others here, wherever the file is split.
+    """
+    own = spark.read.options(**options).text(glob).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value"
+    )
+    # A character has four bytes at most, and a line one character at least with its end; ids count from the first line of the task's first split.
+    first = own.where(F.col("block") < 4 * leading)
+    in_order = Window.partitionBy("path").orderBy("block", "id")
+    early = first.withColumn("nth", F.row_number().over(in_order)).where(F.col("nth") <= leading)
+    so_far = F.sum(F.length("value") + 1).over(in_order)
+    lines = early.withColumn("upto", so_far).where((F.col("upto") <= leading) | (F.col("nth") == 1))
+    texts = lines.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("nth", "value"))).alias("lines"))
+    return texts.select("path", F.array_join("lines.value", "\n").alias("text"))
+
+
+def leading_lines(text: Column, leading: int = LEADING) -> Column:
+    """The lines of a text that its first characters hold whole, or that many characters of its first line."""
+    piece = F.substring(text, 1, leading)
+    rest = F.substring_index(piece, "\n", -1)
+    cut = F.when(F.length(rest) < F.length(piece), F.left(piece, F.length(piece) - F.length(rest) - 1)).otherwise(piece)
+    return F.when(F.length(text) > leading, cut).otherwise(text)
 
 
 def profile_sources(cells: DataFrame | None, files: DataFrame | None) -> DataFrame:
@@ -173,12 +196,12 @@ def profile_sources(cells: DataFrame | None, files: DataFrame | None) -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
-def profile_folder(spark: SparkSession, folder: str) -> DataFrame:
+def profile_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Candidates of everything in a folder as one job: text files (``.csv``, ``.tsv``, ``.txt``) by their delimiter,
-    cell tables (``.cells.parquet``) by their sheets. Other and hidden files are left out."""
-    texts = spark.read.option("pathGlobFilter", "*.{csv,tsv,txt}").text(folder, wholetext=True)
-    files = texts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    cells = spark.read.option("pathGlobFilter", "*.cells.parquet").schema(CELL_SCHEMA).parquet(folder)
+    cell tables (``.cells.parquet``) by their sheets. Other and hidden files are left out; ``recursive`` goes into its folders."""
+    options = {"recursiveFileLookup": recursive}
+    files = read_text_files(spark, folder, pathGlobFilter="*.{csv,tsv,txt}", **options)
+    cells = spark.read.options(pathGlobFilter="*.cells.parquet", **options).schema(CELL_SCHEMA).parquet(folder)
     return profile_sources(cells, files)
 
 

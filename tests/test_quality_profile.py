@@ -121,6 +121,30 @@ def test_a_folder_of_texts_and_cell_tables(spark, tmp_path):
     assert found == {("a.csv", "csv", 2), ("book", "s", 1)}
 
 
+def test_leading_lines_of_split_files(spark, tmp_path):
+    """A quoted field that goes over many splits, a long file of which only the beginning counts, line ends of all kinds."""
+    field = "\n".join(f"nota {i}" for i in range(3000))
+    (tmp_path / "quoted.csv").write_text(f'mes;nota\n2020-01;"{field}; fin"\n2020-02;"otra; nota"\n')
+    (tmp_path / "long.csv").write_text("mes,v\r\n" + "".join(f"2020-{i % 12 + 1:02d},{i}\r\n" for i in range(50_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        files = read_text_files(spark, str(tmp_path), leading=100_000)
+        texts = {r["path"].rsplit("/", 1)[-1]: r["text"] for r in files.collect()}
+        found = {r["path"].rsplit("/", 1)[-1]: r for r in profile_folder(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert texts["quoted.csv"] == (tmp_path / "quoted.csv").read_text().rstrip("\n")
+    whole = (tmp_path / "long.csv").read_bytes().decode().replace("\r\n", "\n")
+    assert whole.startswith(texts["long.csv"]) and 99_900 < len(texts["long.csv"]) <= 100_000
+    assert (found["quoted.csv"]["rows"], found["quoted.csv"]["columns"]) == (2, 2) and found["long.csv"]["rows"] == 80
+
+
+def test_leading_lines_of_texts(spark):
+    texts = ["ab\ncd\nef", "abcdefgh\nx", "a\n", None, "", "ab\ncdef"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(leading_lines(F.col("t"), 5)).collect()]
+    assert got == ["ab", "abcde", "a\n", None, "", "ab"]
+
+
 def test_scans_and_sinks(spark, monthly, tmp_path):
     df = monthly("2024-01", y=[1.5, None])
     for fmt in ("csv", "parquet"):
