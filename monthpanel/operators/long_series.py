@@ -82,7 +82,12 @@ def _carried(placed: DataFrame, columns: list[str], keys: list[str], rows: int)
     """Rows in buckets, and of each column the last present ``(at, v)`` before a row and the first after it, in the row's series."""
     buckets = placed.withColumn("__bucket", F.floor(F.col("__at") / rows))
     points = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("__at").alias("at"), F.col(c).alias("v"))) for c in columns}
-    ends = [f(points[c]).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("first", F.min), ("last", F.max))]
+    ends = []
+    for i, c in enumerate(columns):
+        there = F.when(F.col(c).isNotNull(), F.col("__at"))
+        for name, edge, value in (("first", F.min, F.min_by), ("last", F.max, F.max_by)):
+            point = F.struct(edge(there).alias("at"), value(F.col(c), there).alias("v"))
+            ends.append(F.when(F.count(F.col(c)) > 0, point).alias(f"{name}{i}"))
     summary = buckets.groupBy("__bucket", *keys).agg(*ends)
     by_bucket = Window.partitionBy(*keys).orderBy("__bucket")
     earlier, later = by_bucket.rowsBetween(Window.unboundedPreceding, -1), by_bucket.rowsBetween(1, Window.unboundedFollowing)

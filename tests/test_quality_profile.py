@@ -11,7 +11,7 @@ from monthpanel.operators.targets import (
     available_targets, default_target, label_columns, target_label, validate_target,
 )
 from monthpanel.sources.profile import (
-    candidate_listing, profile_sheets, profile_folder, profile_sources, read_text_files, sniff_delimiters,
+    candidate_listing, leading_lines, profile_folder, profile_sheets, profile_sources, read_text_files, sniff_delimiters,
 )
 from monthpanel.sources.tables import read_monthly, write_dataset, write_predictions
 from test_reshape import grid
