@@ -1,9 +1,11 @@
 """Quality rules as a learned decision list.
 
 Statistics of every whole text are measured once and stored. Sequential covering learns from labelled rows of them: a rule
-grows by the threshold with the best information gain until it covers no good row, is pruned from its end on other rows,
-and is kept while it is precise there; the rows it covers leave, and the next rule is grown. The list becomes one ordered Spark
-conditional expression, so judging is a column expression over the statistics.
+grows by the threshold with the best information gain until it covers no good row, and is pruned from its end on the rows of a fold that it
+was not grown on. It is kept if it is precise there, and if so many bad rows as it finds there would hardly be found by chance (``CHANCE``, of a
+binomial count with the fold's share of bad rows); else the next fold judges a rule grown on the others. The rows that a kept rule covers leave, and the
+next rule is grown, until no fold accepts one. The list becomes one ordered Spark conditional expression, so judging is a column
+expression over the statistics.
 
 Fit on at most ``MAX_LABELLED`` labelled rows (the smallest by a hash of the id), whose id has no remainder 2: a bounded
 sample of classifier labels, everything else covers all rows.
@@ -15,6 +17,7 @@ rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import operator
 from collections.abc import Iterator
 from functools import reduce
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from monthpanel.llm.batches import bytes_of
 from monthpanel.llm.shared import id_remainder, stored, table
 
-MAX_LABELLED, MAX_RULES, MAX_TERMS, PRECISION, LEAST = 20_000, 12, 3, 0.95, 5
+MAX_LABELLED, MAX_RULES, MAX_TERMS, PRECISION, CHANCE, FOLDS = 20_000, 12, 3, 0.95, 1e-3, 3
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_unique", "n_upper", "n_lower",
           "n_digits", "n_bangs", "n_marks")
 FEATURES = {
@@ -133,25 +136,41 @@ def _grow(rows: np.ndarray, bad: np.ndarray, names: list[str]) -> Rule:
     return rule
 
 
-def learn_rules(rows: np.ndarray, bad: np.ndarray, prune: np.ndarray, names: list[str]) -> list[Rule]:
-    """Ordered rules that find bad rows; ``prune`` marks the rows that only prune and judge them."""
+def by_chance(p: int, n: int, share: float) -> float:
+    """Probability that at least ``p`` of ``p + n`` rows are bad when ``share`` of all are."""
+    m = p + n
+    return sum(math.comb(m, k) * share**k * (1 - share) ** (m - k) for k in range(p, m + 1)) if m < 1000 else float(p <= share * m)
+
+
+def _judged_rule(rows: np.ndarray, bad: np.ndarray, judge: np.ndarray, names: list[str]) -> Rule:
+    """A rule grown on the other rows and pruned on those of ``judge``, or an empty one if it isn't sure there."""
+    if not bad[~judge].any() or not bad[judge].any():
+        return []
+    rule = _grow(rows[~judge], bad[~judge], names)
+    own, marks = rows[judge], bad[judge]
+
+    def found(terms: Rule) -> tuple[int, int]:
+        hit = _covers(terms, own, names)
+        return int((hit & marks).sum()), int((hit & ~marks).sum())
+
+    def worth(terms: Rule) -> float:
+        p, n = found(terms)
+        return (p + 1) / (p + n + 2) if terms else 0.0
+
+    # The shortest beginning of the rule that is as precise as the best one.
+    rule = rule[: max(range(len(rule) + 1), key=lambda k: (round(worth(rule[:k]), 3), -k))]
+    p, n = found(rule)
+    sure = rule and p >= PRECISION * (p + n) and by_chance(p, n, marks.mean()) < CHANCE
+    return rule if sure else []
+
+
+def learn_rules(rows: np.ndarray, bad: np.ndarray, folds: np.ndarray, names: list[str]) -> list[Rule]:
+    """Ordered rules that find bad rows; each is grown on all ``folds`` but one and judged on that."""
     rules, left = [], np.ones(len(rows), bool)
-    while len(rules) < MAX_RULES and (bad & left & ~prune).sum() >= LEAST:
-        grown = left & ~prune
-        rule = _grow(rows[grown], bad[grown], names)
-        judged = rows[left & prune], bad[left & prune]
-
-        def worth(terms: Rule) -> tuple[float, int]:
-            hit = _covers(terms, judged[0], names)
-            p, n = int((hit & judged[1]).sum()), int((hit & ~judged[1]).sum())
-            return (p + 1) / (p + n + 2) if terms else 0.0, p
-
-        # The shortest beginning of the rule that is as precise as the best one.
-        cut = max(range(len(rule) + 1), key=lambda k: (round(worth(rule[:k])[0], 3), -k))
-        rule = rule[:cut]
-        hit = _covers(rule, judged[0], names)
-        p, n = int((hit & judged[1]).sum()), int((hit & ~judged[1]).sum())
-        if not rule or p < LEAST or p < PRECISION * (p + n):
+    while len(rules) < MAX_RULES and (bad & left).any():
+        tried = (_judged_rule(rows[left], bad[left], folds[left] == f, names) for f in range(FOLDS))
+        rule = next((r for r in tried if r), None)
+        if rule is None:
             break
         rules.append(rule)
         left &= ~_covers(rule, rows, names)
@@ -178,8 +197,7 @@ def fit_rules(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", la
     rows = measured.select(id_col, *names).join(sample, id_col).orderBy(F.xxhash64(id_col), id_col).limit(max_labelled).toPandas()
     if rows.empty or rows["bad"].nunique() < 2:
         return []
-    prune = np.arange(len(rows)) % 3 == 0
-    return learn_rules(rows[names].to_numpy(float), rows["bad"].to_numpy(bool), prune, names)
+    return learn_rules(rows[names].to_numpy(float), rows["bad"].to_numpy(bool), np.arange(len(rows)) % FOLDS, names)
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
