@@ -23,7 +23,7 @@ from monthpanel.operators.learn import ELASTIC_ALPHA, ELASTIC_L1_RATIO, RIDGE_AL
 from monthpanel.operators.moments import Held, comoments, join_by_key
 from monthpanel.operators.quantiles import exact_quantiles
 from monthpanel.operators.trees import boosted, forest
-from monthpanel.sources.tables import stored_at
+from monthpanel.sources.tables import new_folder, stored_at
 
 # Rounds of coordinate descent at most, and the largest step, in deviations of the target, at which it ends.
 ROUNDS, STILL = 20_000, 1e-12
@@ -158,14 +158,16 @@ def keyed_contest(frame: DataFrame, target_name: str, features: list[str], test_
 
     ``models`` are ``ridge_lagged``, ``elasticnet_lagged``, ``ridge`` (leave-one-out), ``random_forest`` and ``gradient_boosting``; ``options``
     has parameters of the last two (:mod:`monthpanel.operators.trees`). Keys of ``panel``, or of the frame, that are too short for a train row are in the
-    comparison with the reason and without metrics. ``folder`` stores the marked frame there, once.
+    comparison with the reason and without metrics. The marked frame, which every model reads, is stored in ``folder`` or a new one.
     """
     if not keys:
         raise ValueError("a model per key needs keys")
+    folder = folder or new_folder(frame.sparkSession, "contest")
     marked = mark_holdout(frame.select(*keys, "date", F.col(target).cast("double").alias("__y"), *features), test_size, keys)
+    marked = stored_at(marked, f"{folder}/marked")
     lengths = marked.groupBy(*keys).agg((F.max("train_rows") > 0).alias("__fits"))
     rows = marked.where("train_rows > 0").drop("step", "train_rows")
-    rows = stored_at(fill_medians(rows, features, keys) if impute else rows, folder)
+    rows = stored_at(fill_medians(rows, features, keys), f"{folder}/filled") if impute else rows
     train, test = (rows.where(F.col("part") == part).drop("part") for part in ("train", "test"))
     made = []
     if linear := [m for m in models if m in SOLVERS]:

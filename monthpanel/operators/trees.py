@@ -2,7 +2,8 @@
 
 A level is one aggregation: rows are counted by (key, tree, node, feature, bin), running sums over a feature's bins give every split, and the best of
 a node is kept. Only these split tables, a row for each node, are stored and meet the rows again, in one join by key in which a row walks
-down its trees; so rows are never written, whatever the depth. Boosting updates its residuals in each round and stores them every ``KEEP`` rounds.
+down its trees; so rows are written once with their bins, whatever depth and number of trees. Boosting updates its residuals in each round and stores
+them every ``KEEP`` rounds.
 
 Bins are ``BINS`` quantiles of a key's train values. A feature with up to that many train rows has a bin for each value, so splits are those of an
 exact search, half-way between neighbouring values of the node. The best split has the largest share of the node's squared error removed; shares that
@@ -101,7 +102,7 @@ def forest(marked: DataFrame, features: list[str], target: str, keys: list[str]
     """``keys, date, y, prediction`` of the test rows of a marked frame: the mean of trees grown on bootstrap copies of the key's train rows."""
     source, ids = with_key(marked, keys)
     folder = folder or new_folder(marked.sparkSession, "forest")
-    rows = binned(source, features, target, ids).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    rows = stored_at(binned(source, features, target, ids), f"{folder}/rows").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     weight = F.when(F.col("part") == "train", bootstrap_weight(seed, F.col("tree"), list(keys))).otherwise(0)
     drawn = rows.withColumns({"w": weight.cast("double"), "t": F.col("y") - F.col("mean"), "value": F.lit(0.0)})
     root = drawn.groupBy(*ids, "tree").agg(F.try_divide(F.sum(F.col("w") * F.col("t")), F.sum("w")).alias("root"))
