@@ -30,7 +30,8 @@ def positions(df: DataFrame, order: list[str], keys: list[str] = (), folder: str
     runs = written.groupBy("__run").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__run").rowsBetween(Window.unboundedPreceding, -1))
     runs = runs.select("__run", F.coalesce(before, F.lit(0)).alias("__start"))
-    return written.join(runs, "__run").withColumn("__at", F.col("__start") + F.col("__in")).drop("__run", "__in", "__id", "__start")
+    # A row for each partition written, so the rows themselves need no exchange to meet it.
+    return written.join(F.broadcast(runs), "__run").withColumn("__at", F.col("__start") + F.col("__in")).drop("__run", "__in", "__id", "__start")
 
 
 def _haloed(placed: DataFrame, halo: int, rows: int) -> tuple[DataFrame, Callable]:
@@ -78,6 +79,15 @@ def rolling_long(df: DataFrame, columns: list[str], windows: list[int], order: l
     return buckets.select(*df.columns, "__halo", *made).where(~F.col("__halo")).drop("__halo")
 
 
+def _around(by: str, keys: list[str]) -> tuple:
+    """The windows of the rows before a row and of those after it, nearest last.
+
+    Both grow by a row at a time. A window up to the last row is counted anew for every row, the square of a bucket's rows.
+    """
+    own = Window.partitionBy(*keys)
+    return tuple(own.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc(by), F.desc(by)))
+
+
 def _carried(placed: DataFrame, columns: list[str], keys: list[str], rows: int) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
     """Rows in buckets, and of each column the last present ``(at, v)`` before a row and the first after it, in the row's series."""
     buckets = placed.withColumn("__bucket", F.floor(F.col("__at") / rows))
@@ -89,23 +99,21 @@ def _carried(placed: DataFrame, columns: list[str], keys: list[str], rows: int)
             point = F.struct(edge(there).alias("at"), value(F.col(c), there).alias("v"))
             ends.append(F.when(F.count(F.col(c)) > 0, point).alias(f"{name}{i}"))
     summary = buckets.groupBy("__bucket", *keys).agg(*ends)
-    by_bucket = Window.partitionBy(*keys).orderBy("__bucket")
-    earlier, later = by_bucket.rowsBetween(Window.unboundedPreceding, -1), by_bucket.rowsBetween(1, Window.unboundedFollowing)
+    earlier, later = _around("__bucket", keys)
     names = {k: f"__key{i}" for i, k in enumerate(keys)}
     summary = summary.select(
         F.col("__bucket").alias("__of"), *[F.col(k).alias(n) for k, n in names.items()],
         *[F.last(f"last{i}", ignorenulls=True).over(earlier).alias(f"__before{i}") for i in range(len(columns))],
-        *[F.first(f"first{i}", ignorenulls=True).over(later).alias(f"__after{i}") for i in range(len(columns))],
+        *[F.last(f"first{i}", ignorenulls=True).over(later).alias(f"__after{i}") for i in range(len(columns))],
     )
     on = F.col("__bucket") == F.col("__of")
     for k, n in names.items():
         on = on & F.col(k).eqNullSafe(F.col(n))
     joined = buckets.join(summary, on)
-    own = Window.partitionBy("__bucket", *keys).orderBy("__at")
-    before, after = own.rowsBetween(Window.unboundedPreceding, -1), own.rowsBetween(1, Window.unboundedFollowing)
+    before, after = _around("__at", ["__bucket", *keys])
     found = {
         c: (F.coalesce(F.last(points[c], ignorenulls=True).over(before), F.col(f"__before{i}")),
-            F.coalesce(F.first(points[c], ignorenulls=True).over(after), F.col(f"__after{i}")))
+            F.coalesce(F.last(points[c], ignorenulls=True).over(after), F.col(f"__after{i}")))
         for i, c in enumerate(columns)
     }
     return joined, found

@@ -55,6 +55,19 @@ def test_no_long_series_meets_in_one_task(data):
             assert "Aggregate" in below
 
 
+def test_carried_windows_grow_by_a_row(spark, data):
+    """No window is counted anew for each row up to its last one, and rows meet the table of files without an exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [made._jdf.queryExecution().executedPlan().toString() for made in (
+            interpolate_long(data, ["x"], ["date"], rows=20), fill_forward_long(data, ["x"], ["date"], ["k"], rows=20))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
+        assert "unboundedfollowing" not in plan
+        assert "BroadcastHashJoin [__run" in plan and "SortMergeJoin [__run" not in plan
+
+
 def test_positions_of_empty_and_one(spark):
     empty = spark.createDataFrame([], "date int, x double")
     assert positions(empty, ["date"]).count() == 0 and lag_long(empty, ["x"], [1], ["date"]).count() == 0
