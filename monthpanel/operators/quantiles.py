@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthpanel.sources.tables import new_folder, stored_at
+
 # A round fixes two digits of 8 bits of the wanted values; 64 bits take four rounds.
 DIGIT, ROUNDS = 256, 4
 _FRACTION, _LEAST_NORMAL = float(2**52), 2.0**-1022
@@ -41,18 +43,20 @@ def _ranks(n: Column, probs: list[float]) -> Column:
     return F.array_distinct(F.array(*[f(p).cast("long") for p in places for f in (F.floor, F.ceil)]))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = ()) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = (), folder: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles per key as ``keys, n, quantiles`` (an array in ``probs`` order).
 
     Values become 64-bit integers of the same order. A round counts the next 16 bits of the values that agree with a wanted rank so far, in
     partial sums, and takes the rank's bucket; after four rounds the bits are the value. Nothing is sorted but the counts of a digit,
-    at most 256 rows of a group, and no exchange has more of a group than its counts. Rounds after the first
-    meet the prefixes still wanted in a join, which adaptive execution splits where a group is large.
+    at most 256 rows of a group, and no exchange has more of a group than its counts. The integers are worked out and written once, to ``folder`` or a
+    new one, and so are the prefixes still wanted after a round: as their size is known, rows meet few of them without an exchange, and many in a
+    join that adaptive execution splits where a group is large.
     """
     ids = list(keys)
+    folder = folder or new_folder(df.sparkSession, "quantiles")
     v = F.col(value).cast("double")
     # Image and digits as of an unsigned integer: the sign bit flipped.
-    rows = df.where(v.isNotNull()).select(*keys, image_of(v).bitwiseXOR(F.lit(-(2**63))).alias("__u"))
+    rows = stored_at(df.where(v.isNotNull()).select(*keys, image_of(v).bitwiseXOR(F.lit(-(2**63))).alias("__u")), f"{folder}/rows")
     wanted = None
     for k in range(ROUNDS):
         shift = 64 - 16 * (k + 1)
@@ -80,7 +84,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         longer = F.shiftleft("__prefix", 16).bitwiseOR((F.col("__high") * DIGIT + F.col("low")).cast("long"))
         own = F.filter("__wanted", lambda w: (w["left"] >= F.col("before")) & (w["left"] < F.col("before") + F.col("c")))
         left = F.transform(own, lambda w: F.struct(w["rank"].alias("rank"), (w["left"] - F.col("before")).alias("left")))
-        wanted = lows.select(*ids, longer.alias("__prefix"), "__n", left.alias("__wanted")).where(F.size("__wanted") > 0)
+        wanted = stored_at(lows.select(*ids, longer.alias("__prefix"), "__n", left.alias("__wanted")).where(F.size("__wanted") > 0), f"{folder}/wanted-{k}")
     found = wanted.withColumn("v", value_of(F.col("__prefix").bitwiseXOR(F.lit(-(2**63))))).select(*ids, "__n", "v", F.explode("__wanted.rank").alias("rank"))
     by_rank = found.groupBy(*ids, "__n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
 
