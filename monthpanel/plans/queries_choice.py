@@ -8,7 +8,7 @@ from monthpanel.operators.clean import exogenous_columns, numeric_series_columns
 from monthpanel.operators.panel import missing_months
 from monthpanel.operators.targets import default_target, validate_target
 from monthpanel.plans.lifecycle import build_dataset
-from monthpanel.plans.sheets import cell, word, workbooks, year_matrix_book
+from monthpanel.plans.sheets import cell, published, word, workbooks, year_matrix_book
 from monthpanel.plans.views import SUPPLIER_MONTH, rounded, supplier_month, table
 from monthpanel.sources.tables import new_folder, read_monthly, write_dataset, write_predictions
 
@@ -47,7 +47,7 @@ def _trade_book(months):
 def dataset_build(spark, sf_dir):
     """Two kinds of workbooks per supplier in one dataset: a year matrix, and a trade table that repeats a header."""
     months = supplier_month(spark, sf_dir)
-    sources = [("remittances", year_matrix_book(months)), ("trade_by_product", _trade_book(months))]
+    sources = [("remittances", published(year_matrix_book(months))), ("trade_by_product", published(_trade_book(months)))]
     return rounded(build_dataset(sources, keys=["path"], target=None), trade_valor=2)
 
 

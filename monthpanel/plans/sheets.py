@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from monthpanel.functions.months import month_start
 from monthpanel.plans.queries_clean import SPANISH
 from monthpanel.plans.views import table
+from monthpanel.sources.tables import new_folder, stored_at
 
 MONTH_INDEX = "((year(date) - 1995) * 12 + month(date) - 1)"
 MONTH_NAME = f"element_at(array({', '.join(repr(m) for m in SPANISH)}), month(date))"
@@ -48,6 +49,11 @@ def workbooks(rows: DataFrame, path: str, fixed: list[str], own: list[str], shar
     return book.where("text is not null or num is not null or ts is not null")
 
 
+def published(book: DataFrame) -> DataFrame:
+    """The cell table as files: made once, however often a parser reads it."""
+    return stored_at(book, new_folder(book.sparkSession, "book"))
+
+
 def flagged_months(spark, sf_dir) -> DataFrame:
     """Quantity, price and lines per supplier, return flag and month."""
     lines = table(spark, sf_dir, "lineitem").select(
