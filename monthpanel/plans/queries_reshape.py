@@ -14,7 +14,7 @@ from monthpanel.operators.reshape import (
 )
 from monthpanel.plans.queries_clean import named_month
 from monthpanel.plans.sheets import (
-    FLAGGED_MONTHS, activity_books, aggregate_book, flagged_months, listing_book, two_row_book, year_matrix_book,
+    FLAGGED_MONTHS, activity_books, aggregate_book, flagged_months, listing_book, published, two_row_book, year_matrix_book,
 )
 from monthpanel.plans.views import SUPPLIER_MONTH, rounded, supplier_month, table
 from monthpanel.sources.cells import table_from_cells
@@ -33,7 +33,7 @@ def year_matrix_query(spark, sf_dir):
 
 
 def year_matrix_sheet(spark, sf_dir):
-    return year_matrix_cells(year_matrix_book(supplier_month(spark, sf_dir)), "quantity")
+    return year_matrix_cells(published(year_matrix_book(supplier_month(spark, sf_dir))), "quantity")
 
 
 def pivot_mean(spark, sf_dir):
@@ -65,12 +65,12 @@ def material_index_query(spark, sf_dir):
 
 
 def header_promote(spark, sf_dir):
-    book = listing_book(supplier_month(spark, sf_dir))
+    book = published(listing_book(supplier_month(spark, sf_dir)))
     return table_from_cells(book, 2, names=["ano", "mes", "cantidad", "valor_usd", "valor_usd_1"])
 
 
 def sheet_first_data_row(spark, sf_dir):
-    book = aggregate_book(supplier_month(spark, sf_dir), "supplier")
+    book = published(aggregate_book(supplier_month(spark, sf_dir), "supplier"))
     observed = aggregate_sheet(book).where("value is not null")
     return observed.join(first_data_rows(book).drop("sheet"), "path")
 
@@ -80,7 +80,7 @@ def sheet_detect(spark, sf_dir):
 
 
 def block_discovery(spark, sf_dir):
-    return activity_series(activity_books(flagged_months(spark, sf_dir)))
+    return activity_series(published(activity_books(flagged_months(spark, sf_dir))))
 
 
 QUERIES = {
