@@ -15,6 +15,8 @@ from monthpanel.sources.profile import candidate_listing, profile_folder, profil
 from monthpanel.sources.tables import new_folder
 
 KEYS = ["supplier"]
+# Tasks that write files, for each core.
+WRITERS = 4
 DESCRIBED = {"mean": 5, "std": 3, "q25": 4, "q50": 4, "q75": 4}
 
 
@@ -75,7 +77,9 @@ def delimiter_sniff(spark, sf_dir):
 def folder_profile(spark, sf_dir):
     """The suppliers' text files, written to folders and profiled from there."""
     folder = new_folder(spark, "files")
-    csv_files(supplier_month(spark, sf_dir)).withColumnRenamed("path", "of").write.partitionBy("of").text(folder)
+    # A file costs far more than its few bytes, by which adaptive execution would choose the number of tasks.
+    files = csv_files(supplier_month(spark, sf_dir)).withColumnRenamed("path", "of").repartition(WRITERS * spark.sparkContext.defaultParallelism, "of")
+    files.write.partitionBy("of").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
     found = candidate_listing(profile_folder(spark, folder, recursive=True))
     return found.withColumn("path", F.regexp_extract("path", "of=([^/]*)/", 1))
 
