@@ -56,26 +56,32 @@ def _same_key(keys: list[str], back: int, window) -> Column:
 def lag_long(df: DataFrame, columns: list[str], lags: list[int], order: list[str], keys: list[str] = (), rows: int = BUCKET_ROWS,
              folder: str | None = None) -> DataFrame:
     """Add ``<column>_lag_<k>`` as :func:`monthpanel.operators.features.add_lags` does, for series of any length."""
-    if any(k <= 0 for k in lags):
-        raise ValueError("a lag is at least one row")
-    buckets, window = _haloed(positions(df, order, keys, folder), max(lags), rows)
-    made = [F.when(_same_key(keys, k, window), F.lag(c, k).over(window)).alias(f"{c}_lag_{k}") for c in columns for k in lags]
-    return buckets.select(*df.columns, "__halo", *made).where(~F.col("__halo")).drop("__halo")
+    return features_long(df, {}, {c: lags for c in columns}, order, keys, rows, folder)
 
 
 def rolling_long(df: DataFrame, columns: list[str], windows: list[int], order: list[str], keys: list[str] = (), rows: int = BUCKET_ROWS,
                  folder: str | None = None) -> DataFrame:
     """Add mean and deviation of the previous n values as :func:`monthpanel.operators.features.add_rolling` does, for series of any length."""
-    if any(n <= 1 for n in windows):
+    return features_long(df, {c: windows for c in columns}, {}, order, keys, rows, folder)
+
+
+def features_long(df: DataFrame, windows: dict[str, list[int]], lags: dict[str, list[int]], order: list[str], keys: list[str] = (),
+                  rows: int = BUCKET_ROWS, folder: str | None = None) -> DataFrame:
+    """Windows and lags by column, as :func:`rolling_long` and :func:`lag_long` add them, from one placing of the rows."""
+    if any(k <= 0 for own in lags.values() for k in own):
+        raise ValueError("a lag is at least one row")
+    if any(n <= 1 for own in windows.values() for n in own):
         raise ValueError("a rolling window spans at least two rows")
-    buckets, window = _haloed(positions(df, order, keys, folder), max(windows), rows)
+    far = max((n for own in (*windows.values(), *lags.values()) for n in own), default=0)
+    buckets, window = _haloed(positions(df, order, keys, folder), far, rows)
     made = []
-    for c in columns:
-        for n in windows:
+    for c, own in windows.items():
+        for n in own:
             past = window.rowsBetween(-n, -1)
             full = _same_key(keys, n, window) & (F.count(c).over(past) == n)
             made.append(F.when(full, F.avg(c).over(past)).alias(f"{c}_roll_mean_{n}"))
             made.append(F.when(full, F.stddev_samp(c).over(past)).alias(f"{c}_roll_std_{n}"))
+    made += [F.when(_same_key(keys, k, window), F.lag(c, k).over(window)).alias(f"{c}_lag_{k}") for c, own in lags.items() for k in own]
     return buckets.select(*df.columns, "__halo", *made).where(~F.col("__halo")).drop("__halo")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from monthpanel.operators.long_series import fill_forward_long, holdout_long, interpolate_long, lag_long, rolling_long
+from monthpanel.operators.long_series import features_long, fill_forward_long, holdout_long, interpolate_long, lag_long, rolling_long
 from monthpanel.plans.views import rounded, table
 
 # Rows equal in all of these are equal in all that the queries return.
@@ -35,8 +35,8 @@ def rolling_long_query(spark, sf_dir):
 def rolling_long_keys(spark, sf_dir):
     """The same by return flag: three series, none of which fits a bucket."""
     lines = table(spark, sf_dir, "lineitem").select(*ORDER, "l_returnflag")
-    made = rolling_long(lines, ["l_quantity"], [4], ORDER, ["l_returnflag"], rows=ROWS)
-    return rounded(lag_long(made, ["l_quantity"], [7], ORDER, ["l_returnflag"], rows=ROWS), l_quantity_roll_mean_4=6, l_quantity_roll_std_4=6)
+    made = features_long(lines, {"l_quantity": [4]}, {"l_quantity": [7]}, ORDER, ["l_returnflag"], rows=ROWS)
+    return rounded(made, l_quantity_roll_mean_4=6, l_quantity_roll_std_4=6)
 
 
 def interpolate_long_query(spark, sf_dir):
