@@ -5,19 +5,27 @@ row knows its position among all. Windows then run in buckets of equal numbers o
 into the next one as a halo as wide as the widest lag or window. What reaches further back, the last value before a gap, comes from a
 summary with a row for each bucket and key. So no exchange brings more than a bucket of rows together, also with ``keys=[]``.
 
+Windows are put together from blocks of 1, 8, 64, ... rows, each from eight of the size before, so that a row costs some lags for each of these sizes and
+not its whole window. Sums, means and squared deviations are merged without subtracting totals, so nothing cancels out.
+
 ``order`` must order the rows of a key fully; rows equal in all its columns are in any order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, NumericType
 
 from monthpanel.sources.tables import new_folder, stored_at
 
 BUCKET_ROWS = 1_000_000
+#: So many blocks of rows make one of the next size.
+BLOCKS = 8
 _PLACE = 2**33  # of monotonically increasing ids: the partition above, the row below
 
 
@@ -45,7 +53,9 @@ def _haloed(placed: DataFrame, halo: int, rows: int) -> tuple[DataFrame, Callabl
 
 
 def _same_key(keys: list[str], back: int, window) -> Column:
-    """Whether the row so far back is of the same series."""
+    """Whether the row so far back is of the same series; without keys any row is."""
+    if not keys:
+        return F.lit(True)
     then = F.lag(F.struct(F.lit(True).alias("there"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]), back).over(window)
     same = then["there"]
     for i, k in enumerate(keys):
@@ -74,17 +84,80 @@ def features_long(df: DataFrame, windows: dict[str, list[int]], lags: dict[str,
         raise ValueError("a rolling window spans at least two rows")
     far = max((n for own in (*windows.values(), *lags.values()) for n in own), default=0)
     buckets, window = _haloed(positions(df, order, keys, folder), far, rows)
+    # Decimals have exact means, which plain windows give.
+    plain = {c for c in windows if not _is_double(df, c)}
+    buckets, totals = _in_blocks(buckets, {c: own for c, own in windows.items() if c not in plain}, window)
     made = []
     for c, own in windows.items():
         for n in own:
             past = window.rowsBetween(-n, -1)
-            full = _same_key(keys, n, window) & (F.count(c).over(past) == n)
-            made.append(F.when(full, F.avg(c).over(past)).alias(f"{c}_roll_mean_{n}"))
-            made.append(F.when(full, F.stddev_samp(c).over(past)).alias(f"{c}_roll_std_{n}"))
+            full = _same_key(keys, n, window)
+            if c in plain:
+                full, mean, deviation = full & (F.count(c).over(past) == n), F.avg(c).over(past), F.stddev_samp(c).over(past)
+            else:
+                total, squares = totals[c, n]
+                mean, deviation = F.col(total) / n, F.sqrt(F.col(squares) / (n - 1))
+            made.append(F.when(full, mean).alias(f"{c}_roll_mean_{n}"))
+            made.append(F.when(full, deviation).alias(f"{c}_roll_std_{n}"))
     made += [F.when(_same_key(keys, k, window), F.lag(c, k).over(window)).alias(f"{c}_lag_{k}") for c, own in lags.items() for k in own]
     return buckets.select(*df.columns, "__halo", *made).where(~F.col("__halo")).drop("__halo")
 
 
+def _is_double(df: DataFrame, column: str) -> bool:
+    """Whether means of the column are made in doubles."""
+    kind = df.select(column).schema[0].dataType
+    return isinstance(kind, NumericType) and not isinstance(kind, DecimalType)
+
+
+def _in_blocks(buckets: DataFrame, windows: dict[str, list[int]], window) -> tuple[DataFrame, dict[tuple, tuple[str, str]]]:
+    """Add sum and squared deviations of the previous n rows, null where a row or value is missing; their names by column and n."""
+    sizes = [1]
+    while sizes[-1] * BLOCKS <= max((n for own in windows.values() for n in own), default=0):
+        sizes.append(sizes[-1] * BLOCKS)
+    made, given = buckets, {f"__c{i}_1": c for i, c in enumerate(windows)}
+    blocks = {f"__c{i}_1": (1, f"__c{i}_1", f"__c{i}_1", None) for i in range(len(windows))}
+    for small, size in zip(sizes, sizes[1:]):
+        wanted = {f"__c{i}_{size}": [(blocks[f"__c{i}_{small}"], k * small) for k in range(BLOCKS)]
+                  for i, own in enumerate(windows.values()) if max(own, default=0) >= size}
+        made, found = _merged(made, wanted, given, window)
+        blocks |= found
+    wanted = {}
+    for i, own in enumerate(windows.values()):
+        for n in own:
+            parts, back = [], 1
+            for size in sizes:
+                for _ in range((n + 1 - back) % (size * BLOCKS) // size):
+                    parts.append((blocks[f"__c{i}_{size}"], back))
+                    back += size
+            wanted[f"__w{i}_{n}"] = parts
+    made, found = _merged(made, wanted, given, window)
+    return made, {(c, n): found[f"__w{i}_{n}"][1::2] for i, (c, own) in enumerate(windows.items()) for n in own}
+
+
+def _merged(df: DataFrame, wanted: dict[str, list[tuple]], given: dict[str, str], window) -> tuple[DataFrame, dict[str, tuple]]:
+    """Add blocks of rows, each put together from ``(block, rows back)``; a block is its rows and the names of sum, mean and squared deviations.
+
+    ``given`` has the columns behind blocks of one row; they are cast after the exchange, so that it brings none of them twice.
+    """
+    backs = {(name, back) for parts in wanted.values() for block, back in parts for name in block[1:] if name and back}
+    df = df.withColumns({f"{name}_{back}": F.lag(given.get(name, name), back).over(window) for name, back in sorted(backs) if f"{name}_{back}" not in df.columns})
+
+    def then(name: str, back: int) -> Column:
+        found = F.col(f"{name}_{back}" if back else given.get(name, name))
+        return found.cast("double") if name in given else found
+
+    made, sums, means, squares = {}, {}, {}, {}
+    for name, parts in wanted.items():
+        made[name] = rows, total, mean, square = sum(block[0] for block, _ in parts), f"{name}_sum", f"{name}_mean", f"{name}_sq"
+        # Means are counted from one of them, so that equal values deviate by nothing.
+        first = then(parts[0][0][2], parts[0][1])
+        sums[total] = reduce(add, (then(block[1], back) for block, back in parts), F.lit(0.0))  # no sum is a negative zero
+        means[mean] = first + reduce(add, ((then(block[2], back) - first) * block[0] for block, back in parts)) / rows
+        apart = [(then(block[2], back) - F.col(mean), block[0]) for block, back in parts]
+        squares[square] = reduce(add, (*(d * d * n for d, n in apart), *(then(block[3], back) for block, back in parts if block[3])))
+    return df.withColumns(sums | means).withColumns(squares), made
+
+
 def _around(by: str, keys: list[str]) -> tuple:
     """The windows of the rows before a row and of those after it, nearest last.
 

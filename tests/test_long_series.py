@@ -68,6 +68,41 @@ def test_carried_windows_grow_by_a_row(spark, data):
         assert "BroadcastHashJoin [__run" in plan and "SortMergeJoin [__run" not in plan
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+@pytest.mark.parametrize("rows", [70, 1000])
+def test_wide_windows_equal_plain_ones(spark, keys, rows):
+    """Windows of one, two and three sizes of blocks, with gaps, infinities, NaN, equal and large values, whole numbers and decimals."""
+    rng = random.Random(5)
+    odd = {150: None, 400: math.inf, 520: -math.inf, 690: math.nan, 860: -0.0}
+    values = [odd.get(i, 0.1 if i < 90 or 760 < i < 900 else 1e9 + rng.random() if i < 300 else rng.uniform(-9, 9)) for i in range(1000)]
+    rows_made = [("a" if i < 620 else None, i, v, rng.randrange(-50, 50) if i % 311 else None) for i, v in enumerate(values)]
+    rng.shuffle(rows_made)
+    df = spark.createDataFrame(rows_made, "k string, date int, x double, n long").withColumn("d", F.col("n").cast("decimal(9,2)")).repartition(5)
+    sizes, by = [2, 3, 7, 8, 9, 60, 64, 65, 130], ["k", "date"]
+    made = rolling_long(df, ["x", "n", "d"], sizes, ["date"], keys, rows)
+    plain = add_rolling(df, ["x", "n", "d"], sizes, keys)
+    assert made.schema == plain.schema
+    if not keys:
+        made, plain = made.orderBy("date"), plain.orderBy("date")
+    got, want = (sorted(f.collect(), key=lambda r: r["date"]) for f in (made, plain))
+    assert len(got) == len(want) == 1000 and [r[c] for r in got for c in by] == [r[c] for r in want for c in by]
+    for a, b in zip(got, want):
+        for c in made.columns:
+            if isinstance(a[c], float) and isinstance(b[c], float):
+                assert a[c] == b[c] or math.isnan(a[c]) and math.isnan(b[c]) or math.isclose(a[c], b[c], rel_tol=1e-9, abs_tol=1e-6), (c, a, b)
+            else:
+                assert a[c] == b[c], (c, a, b)
+    flat = [r for r in got if r["date"] in range(70, 91) or r["date"] in range(830, 850)]
+    assert len(flat) == 41 and all(r["x_roll_std_60"] == 0 for r in flat if keys or r["date"] < 90 or r["date"] > 820)
+
+
+def test_no_window_is_added_up_for_each_row(data):
+    """A row costs lags for each size of blocks, not the rows of its window."""
+    plan = rolling_long(data, ["x"], [3, 500], ["date"], ["k"], 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "avg(" not in plan and "stddev_samp(" not in plan
+    assert 0 < len(set(re.findall(r"lag\((\w+)#\d+, (-\d+)", plan))) < 100
+
+
 def test_positions_of_empty_and_one(spark):
     empty = spark.createDataFrame([], "date int, x double")
     assert positions(empty, ["date"]).count() == 0 and lag_long(empty, ["x"], [1], ["date"]).count() == 0
